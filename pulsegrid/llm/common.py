@@ -45,6 +45,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A side of at most this many narrow rows may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df (narrow, and cheap to count), marked for broadcast if it is counted to have at most `rows` rows; else left to the optimizer's shuffled joins."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def small_batches(spark: SparkSession) -> None:
     """Long texts make large Arrow batches; fewer rows in each bound a task's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from . import decontaminate, html_extract, language_id, quality_knn, quality_rules
+from .common import held_out, table
 from .packing import Capacity, pack, pieces
+from .pii import personal_data
 from .token_counts import section_token_counts
+from .warc import round_trip
 
 
 def vocabulary(name: str) -> str:
@@ -17,18 +20,58 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_knn.score(docs, quality_knn.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return section_token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="first")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = quality_rules.ngram_counts(quality_rules.trusted(docs, table(spark, sf_dir, "labels")))
+    return quality_rules.score(docs, quality_rules.log_ratios(counts))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), max_tokens=2048), Capacity())
 
 
+def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs)).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_neighbours": op1_quality_neighbours,
     "op2_token_counts": op2_token_counts,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_html_extraction": op4_html_extraction,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_pii_bootstrap": op6_pii_bootstrap,
+    "op7_warc_round_trip": op7_warc_round_trip,
+    "op8_language_id": op8_language_id,
+    "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
