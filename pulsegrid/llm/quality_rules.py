@@ -1,9 +1,10 @@
 """Quality rules: counts of each text, and the log-likelihood ratio of its hashed word n-grams between two corpora.
 
 Two multinomials over hashed word 1- and 2-grams: the trusted target (documents that `labels` marks as good) and the raw
-corpus (all documents), both over whole texts and with add-`smoothing`. A document's score is the sum of
-log(target / raw) over its n-grams, divided by their number; it is kept if the score reaches the threshold and the base
-rules hold. A threshold is a constant, so that the verdict on a document depends on it and the two distributions alone.
+corpus (all documents), both over whole texts and smoothed alike: each bucket of the raw corpus gets `smoothing` counts,
+and each of the target the same times the target's share of the corpus, so that a bucket seen rarely has a ratio near 1. A
+document's score is the sum of log(target / raw) over its n-grams, divided by their number; it is kept if the score reaches
+the threshold and the base rules hold. The threshold is a constant at every size of the corpus.
 
 Words are `[^\\x20\\x09-\\x0D]+`. Null and empty texts have no words: all counts are 0, score 0, base_failed true. Repeated
 rows are judged each; a null doc_id stays null and is never trusted; an empty table gives no rows; other columns are
@@ -27,7 +28,8 @@ BUCKETS = 1 << 16
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Log-likelihood ratio per n-gram below which a document goes.
-THRESHOLD = -0.5
+THRESHOLD = -0.06
+SMOOTHING = 100.0
 #: `[#*$%&|<>]`
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -63,15 +65,15 @@ def ngram_counts(docs: DataFrame, n_buckets: int = BUCKETS) -> DataFrame:
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def log_ratios(counts: DataFrame, n_buckets: int = BUCKETS, smoothing: float = 1.0) -> np.ndarray:
+def log_ratios(counts: DataFrame, n_buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
     """log(target / raw) of every bucket. At most n_buckets rows come to the driver."""
     got = counts.toPandas()
     raw, target = np.zeros(n_buckets), np.zeros(n_buckets)
     raw[got["bucket"]], target[got["bucket"]] = got["raw"], got["target"]
     if not target.sum():
         return np.zeros(n_buckets)
-    p, q = (target + smoothing) / (target.sum() + smoothing * n_buckets), (raw + smoothing) / (raw.sum() + smoothing * n_buckets)
-    return np.log(p / q)
+    own = smoothing * target.sum() / raw.sum()
+    return np.log((target + own) / (target.sum() + own * n_buckets)) - np.log((raw + smoothing) / (raw.sum() + smoothing * n_buckets))
 
 
 def repeated_windows(codes: np.ndarray, first: np.ndarray, n_unique: int, n: int = 3) -> np.ndarray:
