@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, quality_knn, quality_rules
+from . import decontaminate, html_extract, jaccard_join, language_id, quality_knn, quality_rules
 from .common import held_out, table
 from .packing import Capacity, pack, pieces
 from .pii import personal_data
@@ -59,6 +59,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.fit(docs)).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii_bootstrap": op6_pii_bootstrap,
     "op7_warc_round_trip": op7_warc_round_trip,
     "op8_language_id": op8_language_id,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
