@@ -6,15 +6,16 @@ but not none, has one. Texts with equal sets are copies and stand for each other
 
 Candidates come from chosen paths. In every run each set samples the token that a run's hash orders first, and sets that
 sampled the same token share a bucket: a pair shares it with the probability of its similarity. A bucket of more than
-`bucket` sets is split again, up to `depth` times, by two further tokens per set, sampled with a hash that depends on the
-path so far; small buckets are compared by brute force. Runs are repeated until a pair at the threshold has been together
-with probability `recall`. Buckets that stay large hold sets that mostly are similar: they are compared in tiles of about
-`tile` sets, so that no task gets a whole bucket. Nothing is capped, and no pair is ever a row: a bucket's result is one
-edge for each set, to a set it is linked to.
+`bucket` sets is split again, up to `depth` times, by two further sampled tokens per set, chosen by the path so far; small
+buckets are compared by brute force. Runs are repeated until a pair at the threshold has been together with probability
+`recall`. Buckets that stay large hold sets that mostly are similar: they are compared in tiles of about `tile` sets, so
+that no task gets a whole bucket. Nothing is capped, and no pair is ever a row.
 
-First two runs are done and their components found; buckets of the other runs whose sets are in one component already
-need no comparison. Within the final components, which are complete classes, every pair is compared once, in tiles, to
-count links. The only tables that grow with the text are the sets of texts that share a bucket with another text.
+Buckets compare sketches, 64 sampled tokens of 16 bits for each set: a pair is plausible if half of them agree, which a
+pair at the threshold misses with a probability of about one in 10^8. Components of plausible pairs are a coarse grouping
+in which every link lies within a group; only there are the whole sets compared, every pair once, in tiles, which gives
+the exact links, their number for each text and the classes. So the only large thing that moves is the sets of texts that
+have a plausible partner, and it moves once.
 
 Null and empty texts are linked to nothing and form classes of their own. A class is named by its least doc_id, null if
 none is known. n_links counts other rows, copies included. Repeated rows are copies. An empty table gives no rows; other
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,11 @@ SHINGLE = 5
 OVER, UNDER = 4, 5
 RECALL = 1 - 1e-6
 BUCKET = 1000
-TILE = 512
+TILE = 1024
 DEPTH = 2
-FIRST_RUNS = 2
+#: Sampled tokens of a sketch, 16 bits of each, and how many must agree.
+MARKS = 64
+AGREE = 32
 #: Up to so many texts with company are found by a broadcast of their keys; more by a shuffle of the texts.
 WANTED_AT_ONCE = 300_000
 SEED = 0x51ED270B0A1F39C1
@@ -80,7 +84,7 @@ def mix_back(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def seed_of(*parts: int) -> int:
+def seed_of(*parts: int | str) -> int:
     return int.from_bytes(hashlib.blake2b(repr((SEED, *parts)).encode(), digest_size=8).digest(), "little")
 
 
@@ -95,12 +99,13 @@ def _longs(h: np.ndarray) -> pa.Array:
 
 
 def sketch(docs: DataFrame, runs: int, keep: list[str]) -> DataFrame:
-    """The columns in `keep`, text_hash, text_size, sid (16 bytes that name the set, null without words) and the runs' tokens."""
+    """The columns in `keep`, text_hash, text_size, sid (16 bytes that name the set, null without words), the runs' tokens and the sketch."""
     small_batches(docs.sparkSession)
     df = docs.select(*keep, F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), "text")
-    schema = df.drop("text").schema.add("sid", "binary").add("tokens", ArrayType(LongType()))
+    schema = df.drop("text").schema.add("sid", "binary").add("tokens", ArrayType(LongType())).add("marks", "binary")
     n = len(df.columns) - 1
     seeds = [seed_of(r) for r in range(runs)]
+    factors = [np.uint64(seed_of("mark", k) | 1) for k in range(MARKS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches, "text"):
@@ -112,50 +117,48 @@ def sketch(docs: DataFrame, runs: int, keep: list[str]) -> DataFrame:
             sid[has] = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(own[:-1], own[1:], strict=True)]
             tokens = np.stack([least_token(h, own, x) for x in seeds], 1) if has.any() else np.zeros((0, runs), np.uint64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * runs)]), pa.int32()), _longs(np.ascontiguousarray(tokens).ravel()))
-            yield pa.RecordBatch.from_arrays([*s.columns[:n], pa.array(sid, pa.binary()), lists], names=[*s.schema.names[:n], "sid", "tokens"])
+            marks = np.full(s.num_rows, None, object)
+            if has.any():
+                least = np.stack([np.minimum.reduceat(h * f, own[:-1]) for f in factors], 1)
+                marks[has] = [x.tobytes() for x in (mix(least) >> np.uint64(48)).astype("<u2")]
+            yield pa.RecordBatch.from_arrays([*s.columns[:n], pa.array(sid, pa.binary()), lists, pa.array(marks, pa.binary())], names=[*s.schema.names[:n], "sid", "tokens", "marks"])
 
     return df.mapInArrow(run, schema)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, set) of the wanted sids, each by one of its texts. wanted: sid, doc_id, text_hash, text_size."""
+    """The columns of wanted but the text's key, and the set of each sid, at most once from each task. wanted: sid, doc_id, text_hash, text_size and others."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), "text")
     same = (F.col("d.text_hash") == F.col("w.text_hash")) & (F.col("d.text_size") == F.col("w.text_size")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    texts = keyed.alias("d").join(small_side(wanted, WANTED_AT_ONCE).alias("w"), same).select("sid", "text")
+    rest = [c for c in wanted.columns if c not in ("sid", "doc_id", "text_hash", "text_size")]
+    texts = keyed.alias("d").join(small_side(wanted, WANTED_AT_ONCE).alias("w"), same).select("sid", "text", *rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for s in slices(batches, "text"):
+            new = [k for k, x in enumerate(s.column(0).to_pylist()) if not (x in seen or seen.add(x))]
+            s = s.take(pa.array(new, pa.int64()))
             h, first = shingle_sets(s.column(1))
-            yield pa.RecordBatch.from_arrays([s.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), _longs(h))], names=["sid", "set"])
+            yield pa.RecordBatch.from_arrays([s.column(0), *s.columns[2:], pa.ListArray.from_arrays(pa.array(first, pa.int32()), _longs(h))], names=["sid", *rest, "set"])
 
-    out = texts.mapInArrow(run, "sid binary, set array<bigint>")
-    return out.groupBy("sid").agg(F.any_value("set").alias("set"))
+    return texts.mapInArrow(run, texts.drop("text").schema.add("set", ArrayType(LongType())))
 
 
-def split(buckets: DataFrame, sets: DataFrame, level: int) -> DataFrame:
-    """The child buckets (path, sid) of the given ones: two tokens for each set, sampled along its path."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in batches:
-            if not s.num_rows:
-                continue
-            path = s.column(0).to_numpy().view(np.uint64)
-            h, first = _sets_of(s, 2)
-            size = np.diff(first)
-            for k in range(2):
-                own = mix(np.repeat(path, size) ^ np.uint64(seed_of(level, k)))
-                least = np.minimum.reduceat(mix(h ^ own), first[:-1])
-                yield pa.RecordBatch.from_arrays([_longs(mix(path * np.uint64(31) + least + np.uint64(k))), s.column(1)], names=["path", "sid"])
-
-    return buckets.join(sets, "sid").select("path", "sid", "set").mapInArrow(run, "path long, sid binary")
+def split(buckets: DataFrame, level: int) -> DataFrame:
+    """The child buckets (path, sid, marks) of the given ones: two sampled tokens for each set, chosen by the path."""
+    df = buckets.select("path", "sid", "marks", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+    which = F.pmod(F.xxhash64("path", F.lit(level), "k"), F.lit(MARKS)).cast("int")
+    token = F.substring(F.col("marks"), which * 2 + 1, F.lit(2))
+    return df.select(F.xxhash64("path", F.lit(level), "k", token).alias("path"), "sid", "marks")
 
 
 def tiled(groups: DataFrame, tile: int) -> DataFrame:
-    """groups (group, sid, copies, n: the group's size) with `tile`: a pair of blocks; each two sets of a group meet in one tile at least."""
-    blocks = F.ceil(F.col("n") / tile).cast("int")
-    df = groups.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("sid", "group"), F.col("blocks")).cast("int"))
+    """groups (group, sid, n: the group's size, and others) with block, tile (a pair of blocks) and mixed (two different ones), a tile's rows together; each two sets of a group meet in one tile at least."""
+    df = groups.withColumn("blocks", F.ceil(F.col("n") / tile).cast("int")).withColumn("block", F.pmod(F.xxhash64("sid", "group"), F.col("blocks")).cast("int"))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return df.select("group", "sid", "copies", "block", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("tile"), (F.col("other") != F.col("block")).alias("mixed"))
+    df = df.withColumn("tile", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).withColumn("mixed", F.col("other") != F.col("block"))
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.drop("blocks", "other", "n").repartition(n, "group", "tile").sortWithinPartitions("group", "tile", "sid")
 
 
 def linked(sets: list[np.ndarray]) -> np.ndarray:
@@ -192,22 +195,77 @@ def small_linked(a: np.ndarray, b: np.ndarray) -> bool:
     return UNDER * both >= OVER * (len(a) + len(b) - both)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
-    """Rows (group, tile, sid, block, mixed, copies, set), sorted by group and tile, as one list for each tile."""
-    key, rows, sets = None, [], []
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows (group, tile, sid, ...) in order of group, tile and sid as one list for each tile; a sid that comes again is left out."""
+    rows: list[tuple] = []
     for s in batches:
-        if not s.num_rows:
-            continue
-        h, first = _sets_of(s, 6)
-        for k, row in enumerate(zip(*(c.to_pylist() for c in s.columns[:6]), strict=True)):
-            if row[:2] != key:
+        cols = [c.to_pylist() for c in s.columns[:-1]]
+        last = s.column(s.num_columns - 1)
+        if pa.types.is_list(last.type):
+            h, first = _sets_of(s, s.num_columns - 1) if s.num_rows else (None, [])
+            cols.append([h[first[k] : first[k + 1]] for k in range(s.num_rows)])
+        else:
+            cols.append(last.to_pylist())
+        for row in zip(*cols, strict=True):
+            if rows and row[:2] != rows[-1][:2]:
                 if len(rows) > 1:
-                    yield rows, sets
-                key, rows, sets = row[:2], [], []
-            rows.append(row)
-            sets.append(h[first[k] : first[k + 1]])
+                    yield rows
+                rows = []
+            if not rows or row[2] != rows[-1][2]:
+                rows.append(row)
     if len(rows) > 1:
-        yield rows, sets
+        yield rows
+
+
+def forest(at: np.ndarray) -> tuple[list[int], list[int]]:
+    """From a square table of links: for each row that is linked, one edge to the first row of its part."""
+    seen, a, b = np.zeros(len(at), bool), [], []
+    for root in range(len(at)):
+        if seen[root]:
+            continue
+        seen[root], queue = True, [root]
+        while queue:
+            new = np.flatnonzero(at[queue.pop()] & ~seen)
+            seen[new] = True
+            queue += new.tolist()
+            a += [root] * len(new)
+            b += new.tolist()
+    return a, b
+
+
+def agreeing(marks: np.ndarray) -> np.ndarray:
+    """Which sketches (rows of 16-bit tokens) agree in AGREE places at least."""
+    n = len(marks)
+    out = np.empty((n, n), bool)
+    step = max(1, (1 << 21) // n)
+    for k in range(0, n, step):
+        count = np.zeros((min(step, n - k), n), np.uint8)
+        for j in range(MARKS):
+            count += marks[k : k + step, None, j] == marks[None, :, j]
+        out[k : k + step] = count >= AGREE
+    return out
+
+
+def plausible(groups: DataFrame, tile: int = TILE) -> DataFrame:
+    """(a, b): edges that connect all sets of a bucket whose sketches agree. groups: group, sid, n, marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for rows in _grouped(batches):
+            if len(rows) == 2:
+                x, y = (np.frombuffer(r[5], "<u2") for r in rows)
+                i, j = ([0], [1]) if (x == y).sum() >= AGREE else ([], [])
+            else:
+                i, j = forest(agreeing(np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(-1, MARKS)))
+            a += [rows[k][2] for k in i]
+            b += [rows[k][2] for k in j]
+            if len(a) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    rows = tiled(groups, tile).select("group", "tile", "sid", "block", "mixed", "marks")
+    return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _table(sets: list[np.ndarray]) -> np.ndarray:
@@ -220,42 +278,31 @@ def _table(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _tile_rows(groups: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
-    """The rows of all tiles with their sets, a tile's rows together."""
-    rows = tiled(groups, tile).join(sets, "sid").select("group", "tile", "sid", "block", "mixed", "copies", "set")
-    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "group", "tile").sortWithinPartitions("group", "tile", "sid")
-
-
-def edges(groups: DataFrame, sets: DataFrame, tile: int = TILE) -> DataFrame:
-    """(a, b): for every set that a tile links to others, one edge, such that linked sets are connected."""
+def links(groups: DataFrame, tile: int = TILE) -> DataFrame:
+    """Of each tile: (a, b) edges that connect all linked sets, and (a, others) the rows of other sets that a's is linked to, each pair counted in one tile. groups: group, sid, n, copies, set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, sets_ in _grouped(batches):
-            at = _table(sets_)
-            n = len(rows)
-            # breadth first from each set that is not reached yet
-            seen, a, b = np.zeros(n, bool), [], []
-            for root in range(n):
-                if seen[root]:
-                    continue
-                seen[root], queue = True, [root]
-                while queue:
-                    i = queue.pop()
-                    new = np.flatnonzero(at[i] & ~seen)
-                    seen[new] = True
-                    queue += new.tolist()
-                    a += [rows[root][2]] * len(new)
-                    b += [rows[j][2] for j in new]
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        for rows in _grouped(batches):
+            at = _table([r[6] for r in rows])
+            i, j = forest(at)
+            np.fill_diagonal(at, False)
+            if rows[0][4]:
+                block = np.array([r[3] for r in rows])
+                at &= block[:, None] != block[None, :]  # pairs within a block are counted in the block's own tile
+            count = at @ np.array([r[5] for r in rows], np.int64)
+            hit = np.flatnonzero(count)
+            if len(i) + len(hit):
+                a = [rows[k][2] for k in i] + [rows[k][2] for k in hit]
+                b = [rows[k][2] for k in j] + [None] * len(hit)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([None] * len(i) + count[hit].tolist(), pa.int64())], names=["a", "b", "others"])
 
-    return _tile_rows(groups, sets, tile).mapInArrow(run, "a binary, b binary").distinct()
+    rows = tiled(groups, tile).select("group", "tile", "sid", "block", "mixed", "copies", "set")
+    return rows.mapInArrow(run, "a binary, b binary, others long")
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(sid, label): the least sid of each component. Each round every node takes its neighbours' least label and then that label's own label."""
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct())
+    both = stored(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
     label = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "sid"))
     for _ in range(max_rounds):
         near = both.join(label.withColumnRenamed("sid", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -268,30 +315,6 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def link_counts(classes: DataFrame, sets: DataFrame, tile: int = TILE) -> DataFrame:
-    """(sid, others): the rows whose set is another one and linked. classes: sid, group, n, copies."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, sets_ in _grouped(batches):
-            at = _table(sets_)
-            np.fill_diagonal(at, False)
-            block = np.array([r[3] for r in rows])
-            if rows[0][4] or len(set(block.tolist())) > 1:
-                at &= block[:, None] != block[None, :]  # pairs within a block are counted in the block's own tile
-            count = at @ np.array([r[5] for r in rows], np.int64)
-            hit = np.flatnonzero(count)
-            if len(hit):
-                yield pa.RecordBatch.from_arrays([pa.array([rows[i][2] for i in hit], pa.binary()), pa.array(count[hit], pa.int64())], names=["sid", "others"])
-
-    return _tile_rows(classes, sets, tile).mapInArrow(run, "sid binary, others long").groupBy("sid").agg(F.sum("others").alias("others"))
-
-
-def _buckets(tokens: DataFrame) -> DataFrame:
-    """(path, sid, n) of buckets with two sets or more."""
-    sizes = tokens.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-    return tokens.join(sizes, "path")
-
-
 def near_duplicates(docs: DataFrame, recall: float = RECALL, bucket: int = BUCKET, tile: int = TILE, depth: int = DEPTH, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id (and the columns of `keep`), class_id and n_links."""
     source = docs
@@ -299,43 +322,31 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL, bucket: int = BUCKE
     runs = runs_for(recall)
     base = docs if not keep else source.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *keep)
     rows = stored(sketch(base, runs, ["doc_id", *(keep or [])]))
-    reps = stored(rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash", "text_size")).alias("of"), F.any_value("tokens").alias("tokens")))
-    run_no = F.posexplode("tokens").alias("run", "token")
-    paths = reps.select("sid", run_no).select("run", F.xxhash64("run", "token").alias("path"), "sid")
-    together = stored(paths.join(paths.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path"))
-    wanted = together.select("sid").distinct().join(reps, "sid").select("sid", "of.*")
-    sets = stored(sets_of(docs, wanted))
-
-    label = None
-    for first, last in ((0, FIRST_RUNS), (FIRST_RUNS, runs)):
-        now = together.filter((F.col("run") >= first) & (F.col("run") < last)).select("path", "sid", "n")
-        if label is not None:
-            known = now.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-            open_ = known.groupBy("path").agg((F.min("label") != F.max("label")).alias("open")).filter("open").select("path")
-            now = stored(now.join(open_, "path", "left_semi"))
-        final = []
-        for level in range(depth):
-            large = now.filter(F.col("n") > bucket)
-            final.append(now.filter(F.col("n") <= bucket))
-            if large.isEmpty():
-                now = None
-                break
-            now = stored(_buckets(split(large.select("path", "sid"), sets, level).distinct()))
-        if now is not None:
-            final.append(now)
-        groups = final[0]
-        for x in final[1:]:
-            groups = groups.unionByName(x)
-        found = edges(groups.select(F.col("path").alias("group"), "sid", "n", F.lit(1).cast("long").alias("copies")), sets, tile)
-        if label is not None:
-            found = found.unionByName(label.select(F.col("label").alias("a"), F.col("sid").alias("b")).filter("a <> b"))
-        label = components(stored(found))
-
-    sizes = label.groupBy("label").agg(F.count("*").alias("n"))
-    member = label.join(sizes, "label").join(reps.select("sid", "copies", "least_id"), "sid")
-    classes = stored(member.select("sid", F.xxhash64("label").alias("group"), "label", "n", "copies", "least_id"))
-    counts = link_counts(classes.select("group", "sid", "n", "copies"), sets, tile)
-    named = classes.join(classes.groupBy("label").agg(F.min("least_id").alias("class_id")), "label").join(counts, "sid", "left")
+    reps = stored(rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash", "text_size")).alias("of"), F.any_value("tokens").alias("tokens"), F.any_value("marks").alias("marks")))
+    paths = reps.select("sid", F.posexplode("tokens").alias("run", "token")).select(F.xxhash64("run", "token").alias("path"), "sid")
+    shared = paths.join(paths.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path")
+    now = stored(shared.join(reps.select("sid", "marks"), "sid"))
+    buckets = []
+    for level in range(depth):
+        buckets.append(now.filter(F.col("n") <= bucket))
+        large = now.filter(F.col("n") > bucket)
+        if large.isEmpty():
+            now = None
+            break
+        child = split(large, level).distinct()
+        now = stored(child.join(child.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path"))
+    if now is not None:
+        buckets.append(now)
+    groups = reduce(DataFrame.unionByName, buckets).withColumnRenamed("path", "group")
+    coarse = components(stored(plausible(groups, tile)))
+
+    size = coarse.groupBy("label").agg(F.count("*").alias("n"))
+    wanted = stored(coarse.join(size, "label").join(reps.select("sid", "copies", "of"), "sid").select("sid", "of.*", F.xxhash64("label").alias("group"), "n", "copies"))
+    found = stored(links(sets_of(docs, wanted), tile))
+    label = components(found.filter("b IS NOT NULL").select("a", "b"))
+    counts = found.filter("b IS NULL").groupBy(F.col("a").alias("sid")).agg(F.sum("others").alias("others"))
+    member = stored(label.join(reps.select("sid", "least_id"), "sid"))
+    named = member.join(member.groupBy("label").agg(F.min("least_id").alias("class_id")), "label").join(counts, "sid", "left")
     known = reps.select("sid", "copies", "least_id").join(named.select("sid", "class_id", "others", F.lit(True).alias("in_class")), "sid", "left")
     known = known.select("sid", F.when(F.col("in_class"), F.col("class_id")).otherwise(F.col("least_id")).alias("class_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     out = rows.filter("sid IS NOT NULL").join(known, "sid").select("doc_id", *(keep or []), "class_id", "n_links", "sid")
