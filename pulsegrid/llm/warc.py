@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, work_dir
+from .common import small_batches, small_side, stored, work_dir
 
 FILE_BYTES = 64 << 20
 REVISIT_BYTES = 100
@@ -96,12 +96,12 @@ def _filesystem(uri: str):
 
 
 def planned(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, payload, digest, refers_to, revisit. Only payloads that occur more than once meet the second table, and it has no html."""
+    """page_id, url, payload, digest, refers_to, revisit. The payloads stay where they lie while the digests that occur more than once are few enough for a broadcast; else they are shuffled by digest."""
     df = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.encode(F.coalesce(F.col(html).cast("string"), F.lit("")), "UTF-8").alias("payload"))
     df = df.withColumn("digest", F.sha2("payload", 256))
     groups = df.filter(F.octet_length("payload") >= revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("original"), F.count("*").alias("copies"), F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("least"))
     groups = groups.filter("copies > 1 AND original IS NOT NULL").select("digest", "original", F.col("least.url").alias("original_url"))
-    df = df.join(groups, "digest", "left")
+    df = df.join(small_side(groups), "digest", "left")
     same = F.coalesce((F.col("page_id") == F.col("original")) & F.col("url").eqNullSafe(F.col("original_url")), F.lit(False))
     df = df.withColumn("revisit", F.col("original").isNotNull() & ~same)
     # rows that repeat the response's page_id and url are equal: one of them stays, the others revisit it
