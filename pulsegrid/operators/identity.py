@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.keys import person_key
+from pulsegrid.sources.tables import shared_folder
 
 from .joins import proximity_join
 from .scd import merge_columns
@@ -71,14 +68,6 @@ def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least:
     return a.join(b, on).withColumn("similarity", similarity).filter(F.col("similarity") >= least).withColumn("confidence", 0.6 + 0.3 * (F.col("similarity") - least) / (1 - least))
 
 
-def _shared(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="pulsegrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, "pulsegrid", uuid.uuid4().hex)
-
-
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_iter: int = 50) -> DataFrame:
     """(node, component): the least node of each component.
 
@@ -88,7 +77,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     spark = edges.sparkSession
 
     def keep(df: DataFrame) -> DataFrame:
-        path = _shared(spark)
+        path = shared_folder(spark)
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

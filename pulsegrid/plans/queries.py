@@ -600,8 +600,8 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT CAST(user_id % 6 AS INTEGER) AS kafka_partition, count(*) + count(*) FILTER (event_id % 50 = 0) AS n FROM events GROUP BY 1")
 def i2_drain_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a stream of messages into partitioned bronze files, drained."""
-    out = identity._shared(spark)
-    q = ingest.append_stream(T.to_bronze(A.event_messages(_stream(spark, sf)), F.col("timestamp")), f"{out}/bronze", f"{out}/checkpoint")
+    out = T.shared_folder(spark)
+    q = ingest.append_stream(T.to_bronze(A.event_messages(_stream(spark, sf)), F.col("timestamp")), f"{out}/bronze", f"{out}/checkpoint", partition_by=("ingestion_date",))
     q.awaitTermination()
     return spark.read.parquet(f"{out}/bronze").groupBy("kafka_partition").agg(F.count("*").alias("n"))
 
@@ -609,7 +609,7 @@ def i2_drain_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {READINGS} SELECT reading_id, metric_value, is_valid, is_late_arriving FROM r")
 def i4_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a stream, upserted to silver batch by batch; the first arrival wins over batches too."""
-    out = identity._shared(spark)
+    out = T.shared_folder(spark)
     table = ingest.Versioned(spark, f"{out}/silver")
     keys = ["reading_id", "metric_name"]
 
@@ -619,3 +619,92 @@ def i4_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     q = ingest.upsert_stream(T.to_bronze(A.event_messages(_stream(spark, sf)), F.col("timestamp")), A.to_silver, table, keys, merge, f"{out}/checkpoint")
     q.awaitTermination()
     return table.read().select("reading_id", "metric_value", "is_valid", "is_late_arriving")
+
+
+def _change_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Change envelopes as a broker gives them, one for each order; every seventh has no row."""
+    o = A.load(spark, sf, "orders")
+    op = F.when(F.col("o_orderkey") % 10 == 0, "d").when(F.col("o_orderkey") % 2 == 0, "u").otherwise("c")
+    row = F.struct(F.col("o_orderkey").cast("string").alias("rx_id"), F.concat(F.lit("PH"), F.col("o_custkey")).alias("pharmacy_patient_id"), F.col("o_orderstatus").alias("status"), F.lit(30).alias("days_supply"))
+    none = F.lit(None).cast("struct<rx_id:string,pharmacy_patient_id:string,status:string,days_supply:int>")
+    gone = F.col("o_orderkey") % 7 == 0
+    body = F.struct(op.alias("op"), F.when((op == "d") & ~gone, row).otherwise(none).alias("before"), F.when((op != "d") & ~gone, row).otherwise(none).alias("after"), (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) * 1000).alias("ts_ms"))
+    m = o.select(F.to_json(body).alias("value"), F.lit("pharmacy").alias("topic"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"), F.col("o_orderdate").cast("timestamp").alias("timestamp"))
+    return T.to_bronze(m, F.col("timestamp"))
+
+
+@query("SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'd' WHEN o_orderkey % 2 = 0 THEN 'u' ELSE 'c' END AS op, CAST(o_orderkey AS VARCHAR) AS rx_id, 'PH' || o_custkey AS pharmacy_patient_id, o_orderstatus AS status, CAST(epoch(o_orderdate) AS BIGINT) * 1000 AS ts_ms FROM orders WHERE o_orderkey % 7 <> 0")
+def b4_parse_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return parse.parse_changes(_change_messages(spark, sf)).select("op", "rx_id", "pharmacy_patient_id", "status", "ts_ms")
+
+
+def _patients(spark: SparkSession, sf: str) -> DataFrame:
+    """Clinical bundles from orders: a patient's entries of a day, of three resource types."""
+    o = A.load(spark, sf, "orders")
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "Condition").when(F.col("o_orderkey") % 3 == 1, "MedicationStatement").otherwise("Observation")
+    names = [x.split(" ")[0] for x in T.ENTRY.split(", ")]
+    own = {"resource_type": kind, "code": F.element_at(F.array(*[F.lit(c) for c in A.CODES]), (F.col("o_orderkey") % 7 + 1).cast("int")), "status": F.col("o_orderstatus"), "onset_date": F.date_format("o_orderdate", "yyyy-MM-dd"), "start_date": F.date_format("o_orderdate", "yyyy-MM-dd"), "medication": F.lit("metformin"), "dosage": F.col("o_orderpriority"), "value": F.col("o_totalprice"), "date": F.date_format("o_orderdate", "yyyy-MM-dd")}
+    types = dict(x.split(" ") for x in T.ENTRY.split(", "))
+    entry = F.struct(*[own.get(n, F.lit(None)).cast(types[n]).alias(n) for n in names])
+    return o.groupBy(F.concat(F.lit("MRN"), F.col("o_custkey")).alias("patient_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("batch_date")).agg(F.collect_list(entry).alias("entries")).withColumn("patient_email", F.lit("x@example.com"))
+
+
+@query("WITH e AS (SELECT 'MRN' || o_custkey AS patient_id, o_orderkey % 3 AS k, ['E11.9', 'I10', 'J45.20', 'E78.5', 'F32.1', 'M54.5', 'K21.0'][o_orderkey % 7 + 1] AS code, o_orderstatus AS status, o_orderpriority AS dosage, o_totalprice AS value, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders) SELECT 'condition' AS resource, patient_id, code AS item, status AS detail, day, sha256(status || '||' || code) AS hash FROM e WHERE k = 0 UNION ALL SELECT 'medication', patient_id, 'metformin', dosage, day, sha256(status || '||' || dosage || '||') FROM e WHERE k = 1 UNION ALL SELECT 'lab', patient_id, code, CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR), day, NULL FROM e WHERE k = 2")
+def b6_clinical_resources(spark: SparkSession, sf: str) -> DataFrame:
+    p = _patients(spark, sf)
+    c = parse.conditions(p).select(F.lit("condition").alias("resource"), "patient_id", F.col("icd10_code").alias("item"), F.col("status").alias("detail"), F.col("onset_date").cast("string").alias("day"), F.col("row_hash").alias("hash"))
+    m = parse.medications(p).select(F.lit("medication").alias("resource"), "patient_id", F.col("medication").alias("item"), F.col("dosage").alias("detail"), F.col("effective_start").cast("string").alias("day"), F.col("row_hash").alias("hash"))
+    text = F.col("value").cast("decimal(18,2)").cast("string")
+    x = parse.labs(p).select(F.lit("lab").alias("resource"), "patient_id", F.col("test_code").alias("item"), text.alias("detail"), F.col("test_date").cast("string").alias("day"), F.lit(None).cast("string").alias("hash"))
+    return c.unionByName(m).unionByName(x)
+
+
+@query("SELECT CASE o_orderkey % 3 WHEN 0 THEN 'Condition' WHEN 1 THEN 'MedicationStatement' ELSE 'Observation' END AS resource_type, count(*) AS entries, count(DISTINCT o_custkey) AS patients FROM orders GROUP BY 1")
+def o17_bundle_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return parse.bundle_profile(_patients(spark, sf)).select("resource_type", "entries", "patients")
+
+
+@query(f"""WITH vb AS (SELECT o_custkey * 10 + (o_custkey * 3 + o_orderkey) % 7 AS patient, CAST(o_orderdate AS DATE) AS batch_date, CASE o_orderstatus WHEN 'F' THEN 'resolved' ELSE 'active' END AS status, '' AS dosage, o_orderkey AS seq, CASE o_orderstatus WHEN 'F' THEN 'resolved' ELSE 'active' END AS row_hash FROM orders), {HISTORY.format(n='h', where='TRUE')}
+SELECT 'MRN' || (patient // 10) AS patient_id, ['{"', '".join(A.CODES)}'][patient % 10 + 1] AS icd10_code, status, CAST(effective_start AS VARCHAR) AS effective_start, CAST(effective_end AS VARCHAR) AS effective_end FROM h""")
+def k8_condition_history(spark: SparkSession, sf: str) -> DataFrame:
+    df = scd.history(A.conditions(spark, sf), ["patient_id", "icd10_code"], "onset_date", "status", ["seq"])
+    return df.select("patient_id", "icd10_code", "status", F.col("effective_start").cast("string").alias("effective_start"), F.col("effective_end").cast("string").alias("effective_end"))
+
+
+MEDS = "(VALUES " + ", ".join(f"('{m}', '{g}', '{c}')" for m, g, c in dims.MEDICATIONS) + ") t(name, generic, class)"
+
+
+@query(f"WITH {FILLS} SELECT name AS medication_name, generic AS generic_name, class AS class_name, {key('name')} AS medication_key, count(rx_id) AS fills FROM {MEDS} LEFT JOIN ff ON drug = name GROUP BY ALL")
+def m6_dim_medication(spark: SparkSession, sf: str) -> DataFrame:
+    w = Warehouse(spark, sf)
+    d = w.dim_medication.join(w.dim_drug_class, "drug_class_key")
+    n = w.fact_prescription_fill.groupBy("medication_key").agg(F.count("*").alias("fills"))
+    return d.join(n, "medication_key", "left").select("medication_name", "generic_name", "class_name", "medication_key", F.coalesce("fills", F.lit(0)).alias("fills"))
+
+
+@query("WITH x AS (SELECT 'events' AS t, max(ts) AS m, 24 AS sla FROM events UNION ALL SELECT 'orders', max(o_orderdate), 24 FROM orders) SELECT t AS \"table\", round((CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') AS BIGINT) - CAST(floor(epoch(m)) AS BIGINT)) / 3600 + 1e-9, 4) AS hours, CASE WHEN (CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') AS BIGINT) - CAST(floor(epoch(m)) AS BIGINT)) / 3600 <= sla THEN 'ok' ELSE 'stale' END AS status FROM x")
+def o7_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    e = A.load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    o = A.load(spark, sf, "orders").withColumn("ts", F.col("o_orderdate").cast("timestamp"))
+    return T.freshness({"events": (e, "ts"), "orders": (o, "ts")}, {"events": 24, "orders": 24}, F.lit("2024-01-31").cast("timestamp")).select("table", r4("hours").alias("hours"), "status")
+
+
+@query("SELECT event_type, count(*) AS n, round(100.0 * count(*) FILTER (value > 100) / nullif(count(*) FILTER (value < 50), 0) + 1e-9, 4) AS ratio FROM events GROUP BY 1")
+def d11_guarded_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    e = A.load(spark, sf, "events")
+    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count(F.when(F.col("value") > 100, 1)).alias("a"), F.count(F.when(F.col("value") < 50, 1)).alias("b")).select("event_type", "n", r4(100 * F.try_divide("a", "b")).alias("ratio"))
+
+
+@query("SELECT DISTINCT kind, id FROM (SELECT 'customer' AS kind, o_custkey AS id FROM orders UNION ALL SELECT 'customer', c_custkey FROM customer UNION ALL SELECT 'supplier', l_suppkey FROM lineitem)")
+def g1_union_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    of = lambda kind, t, c: A.load(spark, sf, t).select(F.lit(kind).alias("kind"), F.col(c).alias("id"))
+    return of("customer", "orders", "o_custkey").unionByName(of("customer", "customer", "c_custkey")).unionByName(of("supplier", "lineitem", "l_suppkey")).distinct()
+
+
+@query("SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '2000-01-01' GROUP BY 1")
+def a15_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as bronze partitions by day's year, replayed from a date; only the partitions since then are read."""
+    out = T.shared_folder(spark)
+    li = A.load(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_quantity", F.date_format("l_shipdate", "yyyy").alias("ingestion_date"))
+    T.overwrite(T.compact(li, 4, ["day"]), f"{out}/bronze", ["ingestion_date"])
+    return T.replay(spark, f"{out}/bronze", "2000", lambda df: df.groupBy("day").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")))

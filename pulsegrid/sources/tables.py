@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -14,6 +16,15 @@ EHR_SCHEMA = f"batch_date string, patient_count int, patients array<struct<resou
 BRONZE_COLUMNS = ["raw_value", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "ingestion_timestamp", "ingestion_date", "ingestion_hour"]
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="pulsegrid-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/pulsegrid/{uuid.uuid4().hex}"
+
+
 def to_bronze(df: DataFrame, ingested: Column | None = None) -> DataFrame:
     """The bronze envelope of rows with value, topic, partition, offset and timestamp, as a broker gives them; works on streams."""
     at = F.current_timestamp() if ingested is None else ingested
