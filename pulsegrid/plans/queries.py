@@ -143,7 +143,7 @@ def b21_device_mapping(spark: SparkSession, sf: str) -> DataFrame:
     return A.readings(spark, sf).groupBy("device_id", K.device_model("device_id").alias("model"), K.body_zone("device_type").alias("body_zone")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {READINGS}, q AS (SELECT *, event_id % 50 = 0 AS dup FROM r, (SELECT unnest([0, 3600]) AS x) WHERE x = 0 OR event_id % 50 = 0) SELECT reading_id, dup AS is_duplicate, CASE WHEN NOT is_valid THEN 0.0 ELSE 1.0 - CASE WHEN lag_s + x > 7200 THEN 0.25 ELSE 0 END - CASE WHEN dup THEN 0.25 ELSE 0 END END AS quality_score FROM q")
+@query(f"WITH {READINGS}, q AS (SELECT *, event_id % 50 = 0 AS dup FROM r, (SELECT unnest([0, 3600]) AS x) WHERE x = 0 OR event_id % 50 = 0) SELECT reading_id, dup AS is_duplicate, CAST(CASE WHEN NOT is_valid THEN 0.0 ELSE 1.0 - CASE WHEN lag_s + x > 7200 THEN 0.25 ELSE 0 END - CASE WHEN dup THEN 0.25 ELSE 0 END END AS DOUBLE) AS quality_score FROM q")
 def b23_quality_score(spark: SparkSession, sf: str) -> DataFrame:
     df = A.to_silver(A.bronze(A.load(spark, sf, "events")), dedup=False)
     return quality.quality_score(quality.flag_duplicates(df, ["reading_id", "metric_name"])).select("reading_id", "is_duplicate", "quality_score")
