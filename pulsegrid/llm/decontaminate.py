@@ -22,7 +22,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import id_and_text, small_side, stored
 
 WORDS = 13
 WINDOWS_AT_ONCE = 100_000
@@ -114,6 +114,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, that are not contaminated."""
     bad = stored(contamination(docs, benchmark, doc_id=doc_id, text=text).filter("contaminated").select(*(F.col(c).alias(f"__{c}") for c in KEY)))
+    bad = small_side(bad)
     same = docs[doc_id].cast("long").eqNullSafe(bad["__doc_id"]) & (F.xxhash64(docs[text].cast("string")) == bad["__text_hash"]) & (F.octet_length(docs[text].cast("string")) == bad["__text_size"])
     return docs.join(bad, same, "left_anti")
 

@@ -360,5 +360,5 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     found = stored(near_duplicates(numbered, keep=["__row"], doc_id=doc_id, text=text))
     # rows without words stay; a class without any id is known by the set of its own
     first = found.filter("sid IS NOT NULL").groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("sid")).alias("s")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row")).alias("x")).select(F.col("x.__row").alias("__row"))
-    stay = stored(first.unionByName(found.filter("sid IS NULL").select("__row")))
-    return numbered.join(stay, "__row", "left_semi").select(*docs.columns)
+    gone = stored(found.filter("sid IS NOT NULL").select("__row").join(first, "__row", "left_anti"))
+    return numbered.join(small_side(gone), "__row", "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, stored
+from .common import slices, small_batches, small_side, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -190,7 +190,7 @@ def with_spans(found: DataFrame, added: DataFrame) -> DataFrame:
     """`found` with all spans, in order, as `all_spans` and written out as `spans`."""
     none = F.expr("cast(array() AS array<struct<start:long,rank:int,kind:string,end:long>>)")
     every = F.array_sort(F.concat("base", F.coalesce("added", none)))
-    df = found.drop("mentions").join(added, "row", "left").withColumn("all_spans", every)
+    df = found.drop("mentions").join(small_side(stored(added)), "row", "left").withColumn("all_spans", every)
     return df.withColumn("spans", F.array_join(F.transform("all_spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","))
 
 
