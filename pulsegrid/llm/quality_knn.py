@@ -6,7 +6,7 @@ times inverse document frequency, at length 1, are projected by the singular vec
 vectors, a few thousand of RANK numbers, are broadcast; every document's cosines with all of them are computed in blocks,
 and the NEIGHBOURS nearest vote with the SHARPNESS-th power of their cosine. score is the weighted share of label 1.
 
-Learning uses at most `per_class` rows of either label. Null and empty texts score 0, as does everything if there is
+Learning uses at most `per_class` ids of either label, drawn from the labels by a hash. Null and empty texts score 0, as does everything if there is
 nothing to learn from. Ties between neighbours go to the one that comes first in the sample. Repeated rows are scored
 each; a null doc_id is held out; a doc_id with several labels is learned once for each; an empty table gives no rows;
 other columns are ignored.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, fold, held_out, id_and_text, slices, small_batches, small_side, text_bytes, words_of
+from .common import SPACE, fold, held_out, id_and_text, slices, small_batches, stored, text_bytes, words_of
 from .quality_rules import SYMBOL, repeated_windows
 from .sampling import labelled_sample
 
@@ -95,9 +95,12 @@ def count_rows(sample: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, rank: int = RANK) -> Model | None:
     """Learns from labelled rows whose fold is not 0. At most 2 * per_class rows of 17 KB come to the driver."""
     small_batches(docs.sparkSession)
-    marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label")).distinct()
-    own = id_and_text(docs).filter(fold("doc_id") != 0).join(small_side(marks), "doc_id")
-    rows = sorted((bytes(r["counts"]), r["label"]) for r in count_rows(labelled_sample(own, F.col("label"), F.col("doc_id"), per_class)).collect())
+    marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").cast("string").alias("text"), F.col("quality").alias("label")).distinct().filter(fold("text") != 0)
+    # the sample is drawn from the labels, so that only its few ids meet the texts
+    chosen = stored(labelled_sample(marks, F.col("label"), F.col("text"), per_class))
+    own = id_and_text(docs).join(F.broadcast(chosen.select(F.col("text").cast("long").alias("doc_id"), "label")), "doc_id").filter("text <> ''")
+    own = own.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # rows that repeat an id count once
+    rows = sorted((bytes(r["counts"]), r["label"]) for r in count_rows(own).collect())
     if not rows:
         return None
     counts = np.stack([np.frombuffer(r[0], np.float32) for r in rows])

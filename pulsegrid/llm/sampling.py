@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def labelled_sample(docs: DataFrame, label: Column, key: Column, per_class: int) -> DataFrame:
-    """(text, label): of each label at most `per_class` rows, those with the least hash of `key`.
+    """(text, label): of each label at most `per_class` rows, those with the least hash of `key`. Where the labels are a table of their own, `text` can be its ids, as strings.
 
     Rows without label, text or key are never taken. Labels are few: their counts come to the driver. A threshold on the
     hash leaves about three times as many rows as are wanted before any is ranked, so no large group is gathered.
