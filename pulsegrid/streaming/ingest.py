@@ -115,3 +115,23 @@ def baseline_alerts(readings: DataFrame, sigma: float = 2.0, least: int = 5) ->
     """Streaming alerts of readings (account, metric, seq, event_s, value). Needs the RocksDB state store."""
     readings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
     return readings.groupBy("account", "metric").transformWithStateInPandas(Baseline(sigma, least), ALERTS, "Append", "ProcessingTime")
+
+
+#: Whether a stream runs batches without new rows; where processing time counts, each of these calls for the next one.
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def alert_stream(alerts: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Starts `baseline_alerts`; without `every` it drains the source and stops. Idle keys expire in the next batch that has rows.
+
+    A drain of a processing-time stream would never stop if it ran batches without rows, so this one runs none. Only this
+    query is touched: it takes its settings from the session as it starts.
+    """
+    conf = alerts.sparkSession.conf
+    before = conf.get(EMPTY_BATCHES)
+    conf.set(EMPTY_BATCHES, "false")
+    try:
+        w = alerts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).outputMode("append")
+        return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
+    finally:
+        conf.set(EMPTY_BATCHES, before)

@@ -51,8 +51,10 @@ def test_stateful_baseline_equals_running_statistics(spark, folder):
         events.filter(p).coalesce(1).write.parquet(f"{folder}/o/{k}")
     out = []
     s = ingest.file_source(spark, f"{folder}/o/*", events.schema, 1)
-    q = ingest.baseline_alerts(shaped(s), least=3).writeStream.foreachBatch(lambda df, _: out.extend(df.collect())).option("checkpointLocation", f"{folder}/cp2").trigger(availableNow=True).outputMode("append").start()
-    q.awaitTermination()
+    before = spark.conf.get(ingest.EMPTY_BATCHES)
+    q = ingest.alert_stream(ingest.baseline_alerts(shaped(s), least=3), lambda df, _: out.extend(df.collect()), f"{folder}/cp2")
+    assert q.awaitTermination(120), "the drain doesn't stop"
+    assert spark.conf.get(ingest.EMPTY_BATCHES) == before
     w = windows.Window.partitionBy("account", "metric").orderBy("event_s", "seq").rowsBetween(windows.Window.unboundedPreceding, -1)
     ref = shaped(events).withColumn("n", F.count("*").over(w)).withColumn("m", F.avg("value").over(w)).withColumn("sd", F.stddev_samp("value").over(w))
     want = {(r.account, r.metric, r.seq) for r in ref.filter("n >= 3 AND sd > 0 AND abs(value - m) > 2 * sd").collect()}
