@@ -14,7 +14,7 @@ from pulsegrid.sources import tables as T
 from pulsegrid.streaming import ingest
 
 from .views import view
-from .warehouse import Warehouse
+from .warehouse import Warehouse, run_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -553,6 +553,49 @@ def o5_grain(spark: SparkSession, sf: str) -> DataFrame:
     return checks.check_grain({"orders": o, "customer": A.load(spark, sf, "customer")}, {"orders": ["o_custkey", "day"], "customer": ["c_custkey"]})
 
 
+def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All gold tables, written once to the shared folder: each is read by several checks."""
+    return run_pipeline(spark, sf, T.shared_folder(spark))
+
+
+GOLD_SQL = f"""{READINGS}, {PEOPLE}, {PATIENT}, {LABS}, {FILLS}, {DAILY}, {STATS}, {LAB_FACT}"""
+STATUS = "CASE WHEN n = 0 THEN 'ok' ELSE 'fail' END"
+
+
+@query(f"""WITH {GOLD_SQL}, x AS (SELECT unnest(['dim_condition_category', 'dim_drug_class', 'dim_metric', 'dim_condition', 'dim_medication', 'dim_date', 'dim_time']) AS o, unnest([{len(dims.CATEGORIES)}, {len(dims.DRUG_CLASSES)}, {len(A.METRICS)}, {len(dims.CONDITIONS)}, {len(dims.MEDICATIONS)}, 1096, 1440]) AS n
+UNION ALL SELECT 'dim_patient', count(*) FROM po UNION ALL SELECT 'dim_device', count(DISTINCT device_key) FROM r UNION ALL SELECT 'fact_vital_reading', count(*) FROM r WHERE is_valid UNION ALL SELECT 'fact_vital_daily_summary', count(*) FROM d
+UNION ALL SELECT 'fact_lab_result', count(*) FROM lg UNION ALL SELECT 'fact_prescription_fill', count(*) FROM ff UNION ALL SELECT 'fact_anomaly_alert', count(*) FROM al)
+SELECT 'row_count' AS "check", o AS object, CAST(n AS DOUBLE) AS value, CASE WHEN o IN ('{"', '".join(checks.EXPECTED_COUNTS)}') THEN CASE WHEN n = {case('o', checks.EXPECTED_COUNTS, '-1')} THEN 'ok' WHEN n = 0 THEN 'warn' ELSE 'fail' END WHEN n > 0 THEN 'ok' ELSE 'warn' END AS status FROM x""")
+def o1_gold_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.check_counts(_gold(spark, sf) | {"dim_date": dims.dim_date(spark), "dim_time": dims.dim_time(spark)})
+
+
+@query(f"""WITH {GOLD_SQL}, x AS (SELECT unnest(['dim_condition.condition_category_key -> dim_condition_category', 'dim_medication.drug_class_key -> dim_drug_class', 'fact_vital_reading.metric_key -> dim_metric', 'fact_vital_daily_summary.metric_key -> dim_metric', 'fact_prescription_fill.medication_key -> dim_medication', 'fact_anomaly_alert.metric_key -> dim_metric']) AS o, 0 AS n
+UNION ALL SELECT 'dim_device.patient_key -> dim_patient', count(DISTINCT device_key) FROM r WHERE user_id % 5 <> 0 AND patient_key NOT IN (SELECT patient_key FROM po)
+UNION ALL SELECT 'fact_vital_reading.patient_key -> dim_patient', count(*) FROM r WHERE is_valid AND patient_key NOT IN (SELECT patient_key FROM po)
+UNION ALL SELECT 'fact_vital_daily_summary.patient_key -> dim_patient', count(*) FROM d WHERE patient_key NOT IN (SELECT patient_key FROM po)
+UNION ALL SELECT 'fact_lab_result.patient_key -> dim_patient', count(*) FROM lg WHERE patient_key NOT IN (SELECT patient_key FROM po)
+UNION ALL SELECT 'fact_prescription_fill.patient_key -> dim_patient', count(*) FROM (SELECT {key('pharmacy_patient_id')} AS patient_key FROM ff) WHERE patient_key NOT IN (SELECT patient_key FROM po)
+UNION ALL SELECT 'fact_anomaly_alert.patient_key -> dim_patient', count(*) FROM al WHERE patient_key NOT IN (SELECT patient_key FROM po))
+SELECT 'foreign_key' AS "check", o AS object, CAST(n AS DOUBLE) AS value, {STATUS} AS status FROM x""")
+def o2_gold_foreign_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.check_foreign_keys(_gold(spark, sf))
+
+
+@query(f"""WITH {GOLD_SQL}, x AS (SELECT unnest(['{"', '".join(f"{t}.{c}" for t, cols in checks.NOT_NULL.items() for c in cols if c not in ("avg_value", "result_value"))}']) AS o, 0 AS n
+UNION ALL SELECT 'fact_vital_daily_summary.avg_value', count(*) FROM d WHERE avg_value IS NULL UNION ALL SELECT 'fact_lab_result.result_value', count(*) FROM lg WHERE value IS NULL)
+SELECT 'not_null' AS "check", o AS object, CAST(n AS DOUBLE) AS value, {STATUS} AS status FROM x""")
+def o3_gold_not_null(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.check_not_null(_gold(spark, sf))
+
+
+@query(f"""WITH {GOLD_SQL}, x AS (SELECT unnest(['dim_patient', 'dim_device', 'dim_metric', 'fact_vital_reading', 'fact_vital_daily_summary', 'fact_prescription_fill']) AS o, 0 AS n
+UNION ALL SELECT 'fact_lab_result', count(*) FROM (SELECT 1 FROM lg GROUP BY patient_key, date_key, test_code HAVING count(*) > 1))
+SELECT 'grain' AS "check", o AS object, CAST(n AS DOUBLE) AS value, {STATUS} AS status FROM x""")
+def o5_gold_grain(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.check_grain(_gold(spark, sf))
+
+
 @query(f"WITH {READINGS} SELECT 'plausible' AS \"check\", metric_name AS object, CAST(sum(CASE WHEN metric_value > 120 THEN 1 ELSE 0 END) AS DOUBLE) AS value, CASE WHEN sum(CASE WHEN metric_value > 120 THEN 1 ELSE 0 END) = 0 THEN 'ok' ELSE 'warn' END AS status FROM r GROUP BY 2")
 def o6_plausible(spark: SparkSession, sf: str) -> DataFrame:
     return checks.check_plausible(A.readings(spark, sf), {e: (0, 120) for e in A.DEVICE_OF})

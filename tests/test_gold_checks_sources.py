@@ -91,3 +91,13 @@ def test_personal_values(spark, rows, want):
     df = spark.createDataFrame([(k, f"mail a@b.com {v}" if v else v) for k, v in rows], "k int, v string")
     got = {r.object: int(r.value) for r in checks.personal_values(df, "t").collect()}
     assert got == {"t.v email": want, "t.v phone": 0, "t.v ssn": 0}
+
+
+def test_registered_checks_cover_what_is_declared(spark):
+    from pulsegrid.plans.queries import QUERIES
+
+    seen = {n: {r.object for r in QUERIES[n](spark, SF).collect()} for n in ("o1_gold_row_counts", "o2_gold_foreign_keys", "o3_gold_not_null", "o5_gold_grain")}
+    assert seen["o1_gold_row_counts"] == {*Warehouse.GOLD, *checks.EXPECTED_COUNTS}
+    assert seen["o2_gold_foreign_keys"] == {f"{c}.{k} -> {p}" for c, k, p in checks.FOREIGN_KEYS}
+    assert seen["o3_gold_not_null"] == {f"{t}.{c}" for t, cols in checks.NOT_NULL.items() for c in cols}
+    assert seen["o5_gold_grain"] == set(checks.GRAINS)
