@@ -33,9 +33,10 @@ SAMPLE_PAGES = 300
 LAYOUT_PAGES = 500
 TREES, DEPTH = 20, 4
 #: Elements by their role in HTML.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()) | frozenset("math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = frozenset("script style noscript template head title svg math iframe object canvas audio video textarea select option button map datalist".split())
+NO_TEXT = frozenset("script style noscript template head title svg iframe object canvas audio video textarea select option button map datalist annotation annotation-xml".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tr", "td", "th", "thead")}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "tbody": ("table",)}
@@ -76,7 +77,15 @@ class Page(HTMLParser):
             if tag in scope:
                 return
 
+    def _ends_head(self, tag: str) -> bool:
+        """An open head ends at a tag that can't stand in it; within its noscript and template only body ends the former."""
+        if self.skip[:1] != ["head"]:
+            return False
+        return tag not in IN_HEAD if len(self.skip) == 1 else tag == "body" and "template" not in self.skip
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self._ends_head(tag):
+            self.skip.clear()
         if self.skip:
             if tag not in VOID:
                 self.skip.append(tag)
@@ -87,6 +96,7 @@ class Page(HTMLParser):
         if tag == "a":
             self.link += 1
         if tag in INLINE:
+            self.fresh = self.fresh or tag in ("mtr", "mtd")
             return
         self.fresh = True
         if tag in VOID:
@@ -106,6 +116,8 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID or tag in NO_TEXT:
+            if self._ends_head(tag):
+                self.skip.clear()
             self.fresh = self.fresh or tag not in INLINE
         else:
             self.handle_starttag(tag, attrs)
@@ -124,6 +136,8 @@ class Page(HTMLParser):
             self._pop_to((tag,))
 
     def handle_data(self, data: str) -> None:
+        if self.skip == ["head"] and data.strip():
+            self.skip.clear()
         if self.skip:
             return
         node = self.open[-1]

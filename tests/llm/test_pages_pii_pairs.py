@@ -156,6 +156,22 @@ def test_odd_pages(spark, trees):
     assert html_extract.extract(df.limit(0), trees).count() == 0
 
 
+def test_open_heads_and_formulas(spark, trees):
+    body = "<article><p>one two three</p><p>four five six</p></article>"
+    odd = [
+        f"<html><head><title>t</title><body>{body}",
+        f"<head><meta charset=utf-8><title>t</title>{body}",
+        f"<head><title>t<body>{body}",
+        f"<head><template><div>x</div></template><noscript><img src=x></noscript><style>p{{}}</style></head><body>{body}",
+        "<article><p>one two <math><mi>x</mi><mo>=</mo><mn>2</mn></math> three</p></article>",
+        "<article><p>one <math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable><annotation>tex</annotation></math> two</p></article>",
+    ]
+    df = spark.createDataFrame([(k, None, h) for k, h in enumerate(odd)], "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_extract.extract(df, trees).collect()}
+    assert [out[k] for k in range(4)] == ["one two three four five six"] * 4
+    assert out[4] == "one two x=2 three" and out[5] == "one 1 2 two"
+
+
 def test_decoding_never_contradicts():
     import itertools
     import random
