@@ -171,9 +171,13 @@ def discover(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN
     accepted = edges.filter("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
     new = accepted.limit(0)
     for _ in range(rounds):
-        size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+        # evidence against a kind: accepted instances of another one, and open ones whose shape excludes it; other open ones are no evidence
+        known = accepted.select("instance", F.lit(1).alias("known")).distinct()
+        shut = [F.count(F.when(F.col("known").isNull() & ~F.array_contains("kinds", k), 1)).alias(f"not_{k}") for k in KINDS]
+        size = edges.join(known, "instance", "left").groupBy("pattern").agg(F.count("known").alias("known"), *shut)
         held = edges.select("pattern", "instance").join(accepted, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count("*").alias("support"))
-        sure = held.filter(F.col("support") >= min_support).join(size, "pattern").withColumn("confidence", F.col("s") / F.col("n")).filter(F.col("confidence") >= min_confidence)
+        n = F.col("known") + F.coalesce(*[F.when(F.col("kind") == k, F.col(f"not_{k}")) for k in KINDS])
+        sure = held.filter(F.col("support") >= min_support).join(size, "pattern").withColumn("confidence", F.col("s") / n).filter(F.col("confidence") >= min_confidence)
         open_ = edges.filter("kind IS NULL").select("pattern", "instance", "kinds").join(accepted.select("instance"), "instance", "left_anti")
         best = open_.join(sure.select("pattern", F.col("kind").alias("k"), "confidence"), "pattern").filter(F.array_contains("kinds", F.col("k")))
         # one kind for each instance: the most confident, then the first by name

@@ -67,6 +67,17 @@ def test_bootstrapping_discovers_and_keeps(spark):
     assert pii.personal_data(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("unseen, strange, found", [(3, 0, True), (20, 0, True), (60, 0, True), (20, 3, False)])
+def test_bootstrapping_finds_many_unseen_identifiers(spark, unseen, strange, found):
+    texts = [f"please call number: +1 (269) 555-{1000 + k} today" for k in range(20)]
+    texts += [f"please call number: 269-555-{2000 + k} today" for k in range(unseen)]
+    # 18 digits can be a card, but no phone: evidence against the context
+    texts += [f"please call number: {300000000000000000 + k} today" for k in range(strange)]
+    out = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert {out[20 + k] for k in range(unseen)} == ({"phone:20:32"} if found else {""})
+    assert all("phone" not in out[20 + unseen + k] for k in range(strange))
+
+
 def test_pii_query_and_redaction(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     text = {r.doc_id: r.text for r in docs.collect()}
