@@ -67,6 +67,28 @@ def runs(df: DataFrame, keys: list[str], order: list[str], flag: Column, least:
     return df.groupBy(*keys, "_i").agg(F.min(order[0]).alias("run_start"), F.max(order[0]).alias("run_end"), F.count("*").alias("run_length")).filter(F.col("run_length") >= least).drop("_i")
 
 
+def runs_in_parts(df: DataFrame, keys: list[str], order: list[str], flag: Column, part: Column, least: int = 3) -> DataFrame:
+    """As `runs`, for few keys with many rows: part never falls along the order; rows are sorted within their part, and only the runs at the ends of parts meet in one window by key."""
+    df = df.withColumn("_f", F.coalesce(flag, F.lit(False))).withColumn("_p", part)
+    whole = Window.partitionBy(*keys, "_p")
+    w = whole.orderBy(*order)
+    pos = df.withColumn("_r", F.row_number().over(w)).withColumn("_n", F.count("*").over(whole))
+    pos = pos.withColumn("_i", F.col("_r") - F.sum(F.col("_f").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("_f")
+    pieces = pos.groupBy(*keys, "_p", "_i").agg(F.min(order[0]).alias("run_start"), F.max(order[0]).alias("run_end"), F.count("*").alias("run_length"), (F.min("_r") == 1).alias("_first"), (F.max("_r") == F.max("_n")).alias("_last"))
+    by_key = Window.partitionBy(*keys).orderBy("_p")
+    parts = df.groupBy(*keys, "_p").agg(F.lit(1).alias("_one")).withColumn("_before", F.lag("_p").over(by_key)).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_p").alias("_q"), "_before")
+    on = F.col("_p").eqNullSafe(F.col("_q"))
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    at = Window.partitionBy(*keys).orderBy("_p", "_i")
+    goes_on = F.col("_first") & F.coalesce(F.lag("_last").over(at), F.lit(False)) & F.lag("_p").over(at).eqNullSafe(F.col("_before"))
+    ends = pieces.filter("_first OR _last").join(parts, on).withColumn("_new", (~goes_on).cast("int"))
+    ends = ends.withColumn("_no", F.sum("_new").over(at.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = ends.groupBy(*keys, "_no").agg(F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"), F.sum("run_length").alias("run_length"))
+    out = [*keys, "run_start", "run_end", "run_length"]
+    return pieces.filter("NOT (_first OR _last)").select(*out).unionByName(joined.select(*out)).filter(F.col("run_length") >= least)
+
+
 def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int) -> DataFrame:
     """keys, session_start, session_end, n: rows of a key with no gap of more than gap_seconds between them."""
     df = df.withColumn("_s", F.unix_timestamp(ts))

@@ -189,7 +189,7 @@ def e6_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("WITH i AS (SELECT *, event_id - row_number() OVER (PARTITION BY event_type, f ORDER BY event_id) AS x FROM (SELECT event_id, event_type, value > 20 AS f, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS o FROM events)), j AS (SELECT *, o - row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS y FROM i WHERE f) SELECT event_type, min(event_id) AS run_start, max(event_id) AS run_end, count(*) AS run_length FROM j GROUP BY event_type, y HAVING count(*) >= 5")
 def e7_sustained_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.runs(A.load(spark, sf, "events"), ["event_type"], ["event_id"], F.col("value") > 20, 5)
+    return windows.runs_in_parts(A.load(spark, sf, "events"), ["event_type"], ["event_id"], F.col("value") > 20, F.floor(F.col("event_id") / 65536), 5)
 
 
 @query(f"WITH {FILLS}, g AS (SELECT pharmacy_patient_id, drug, fill_date, refill_number, rx_id, lag(fill_date + 30) OVER (PARTITION BY pharmacy_patient_id, drug ORDER BY fill_date, rx_id) AS e FROM ff WHERE drug IS NOT NULL) SELECT rx_id, CAST(fill_date - e AS INTEGER) AS gap_days, coalesce(fill_date > e, FALSE) AS is_gap FROM g")

@@ -62,3 +62,14 @@ def test_orphans_ignore_nulls(spark):
     c = spark.createDataFrame([(1,), (2,), (None,)], "fk int")
     p = spark.createDataFrame([(1,), (None,)], "id int")
     assert [r.fk for r in joins.orphans(c, "fk", p, "id").collect()] == [2]
+
+
+def test_runs_go_across_parts(spark):
+    import random
+
+    r = random.Random(4)
+    data = [(r.choice(["a", "b", None]), k, r.random() < 0.85) for k in range(1500) if not 200 <= k < 300]
+    df = spark.createDataFrame(data, "t string, k long, f boolean")
+    for width in (3, 64, 5000):
+        got = windows.runs_in_parts(df, ["t"], ["k"], F.col("f"), F.floor(F.col("k") / width), 4).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(map(tuple, windows.runs(df, ["t"], ["k"], F.col("f"), 4).collect()), key=str)
