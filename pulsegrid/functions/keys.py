@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Model by the first two letters of a device id, and place on the body by device type.
-MODELS = {"SW": "PulseTrack Watch", "CS": "PulseTrack Chest Strap", "SR": "PulseTrack Sleep Ring", "GM": "PulseTrack Glucose Monitor"}
+MODELS = {"SW": "Watch", "CS": "Chest Strap", "SR": "Sleep Ring", "GM": "Glucose Monitor"}
 ZONES = {"smartwatch": "wrist", "chest_strap": "chest", "sleep_ring": "finger", "glucose_monitor": "abdomen"}
 #: Medication by prefix of its national drug code.
 NDC_PREFIXES = {"00093-7": "metformin", "00093-52": "lisinopril", "00113-0": "albuterol", "00093-8": "atorvastatin", "68180-03": "sertraline", "68180-05": "omeprazole"}

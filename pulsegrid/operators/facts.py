@@ -60,7 +60,7 @@ def fact_prescription_fill(fills: DataFrame, medications: DataFrame) -> DataFram
     df = fills.withColumn("_word", first_word("drug_name")).withColumn("_drug", drug_of_ndc("ndc_code"))
     df = df.join(F.broadcast(med.withColumnRenamed("_name", "_word").withColumnRenamed("medication_key", "_by_word")), "_word", "left").join(F.broadcast(med.withColumnRenamed("_name", "_drug").withColumnRenamed("medication_key", "_by_code")), "_drug", "left")
     df = df.select(surrogate_key("rx_id").alias("fill_key"), surrogate_key("pharmacy_patient_id").alias("patient_key"), F.coalesce("_by_word", "_by_code").alias("medication_key"), date_key_of_string("fill_date").alias("date_key"), F.col("days_supply").cast("int").alias("days_supply"), F.col("refill_number").cast("int").alias("refill_number"), "status")
-    return keep_first(df, ["fill_key"], "date_key", "refill_number", "status")
+    return keep_first(df, ["fill_key"], "date_key", "refill_number", "status", "medication_key", "patient_key", "days_supply")
 
 
 def fact_anomaly_alert(readings: DataFrame, bridge: DataFrame, metrics: DataFrame, sigma: float = 2.0, days: int = 30) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,11 +73,56 @@ def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least:
     return a.join(b, on).withColumn("similarity", similarity).filter(F.col("similarity") >= least).withColumn("confidence", 0.6 + 0.3 * (F.col("similarity") - least) / (1 - least))
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_iter: int = 50) -> DataFrame:
-    """(node, component): the least node of each component.
-
-    Each round a node takes its neighbours' least label, then that label's own: paths shorten by half and more. Rounds are
-    written to the shared folder, so the lineage stays short and a lost executor costs one round at most.
+#: Edges of which a task finds the parts at once.
+EDGES_AT_ONCE = 1 << 20
+
+
+def least_of_part(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least node of each node's part, for edges between nodes 0..n - 1."""
+    to = np.arange(n)
+    while True:
+        before, grand = to.copy(), to[to]
+        np.minimum.at(to, before[a], grand[b])
+        np.minimum.at(to, before[b], grand[a])
+        np.minimum.at(to, a, grand[b])
+        np.minimum.at(to, b, grand[a])
+        to = np.minimum(to, grand)
+        if (to == before).all():
+            return to
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) for the nodes a of each so many edges: b is the least node that these edges connect a with."""
+
+    def star(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        codes = pa.chunked_array([*t.column(0).chunks, *t.column(1).chunks]).combine_chunks().dictionary_encode()
+        order = pc.sort_indices(codes.dictionary)
+        rank = np.empty(len(order), np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        at = rank[codes.indices.to_numpy()]
+        nodes = codes.dictionary.take(order)
+        return pa.RecordBatch.from_arrays([nodes, nodes.take(pa.array(least_of_part(at[: t.num_rows], at[t.num_rows :], len(nodes))))], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= EDGES_AT_ONCE:
+            yield star(held)
+            held = []
+    if any(x.num_rows for x in held):
+        yield star(held)
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+    """(node, component): the least node of each component. Nulls link nothing; nodes of any type that can be ordered.
+
+    The graph is contracted in rounds. In each, tasks first replace their edges, a bounded number at a time, by stars with
+    the same parts. Then every node joins the first node of its neighbourhood, and the edges between the joined nodes are
+    the next round's graph. First is the least node in even rounds and the first by a new hash in odd ones, so that also long
+    paths lose a constant share of their nodes. Components that are one node leave the graph, so all rounds together cost
+    about as much as the first few. Minima are combined before the shuffle, and the lookup of a hub's edges is a join of many
+    rows with one, which adaptive execution splits. Each step is written to the shared folder: a lost executor costs one step.
     """
     spark = edges.sparkSession
 
@@ -81,16 +131,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    e = edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.col(src).alias("a"), F.col(dst).alias("b"))
-    e = keep(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = keep(e.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "node"))
-    for _ in range(max_iter):
-        near = e.join(label.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        step = label.join(near, label["node"] == near["a"]).select("node", "component", F.least("component", "near").alias("next"))
-        of = label.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-        step = step.join(of, F.col("next") == F.col("_n"), "left").select("node", F.least("next", F.coalesce("_c", "next")).alias("new"), "component")
-        step = keep(step.select("node", F.col("new").alias("component"), (F.col("new") != F.col("component")).alias("moved")))
-        label = step.select("node", "component")
-        if step.filter("moved").isEmpty():
-            return label
-    raise RuntimeError(f"components did not settle in {max_iter} rounds")
+    e = keep(edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b")).distinct())
+    rounds: list[DataFrame] = []
+    while not e.isEmpty():
+        if len(rounds) == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        star = keep(e.mapInArrow(_stars, e.schema))
+        rank = lambda c, k=len(rounds): F.struct((F.xxhash64(F.lit(k), c) if k % 2 else F.lit(0).cast("long")).alias("h"), F.col(c).alias("n"))
+        both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = keep(both.groupBy("a").agg(F.least(F.min(rank("b")), F.min(rank("a")))["n"].alias("r")))
+        rounds.append(near)
+        x, y = near.withColumnRenamed("r", "x"), near.select(F.col("a").alias("b"), F.col("r").alias("y"))
+        e = keep(star.join(x, "a").join(y, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    if not rounds:
+        return e.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    root = rounds[-1]
+    for earlier in reversed(rounds[:-1]):
+        root = earlier.join(root.select(F.col("a").alias("r"), F.col("r").alias("s")), "r", "left").select("a", F.coalesce("s", "r").alias("r"))
+    root = keep(root)
+    return root.join(root.groupBy("r").agg(F.min("a").alias("component")), "r").select(F.col("a").alias("node"), "component")

@@ -9,7 +9,7 @@ SIGMA = 2.0
 
 
 def keep_one(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """The first row of each key in the given order; the order should have no ties."""
+    """The first row of each key in the given order. The order must be total over the columns that are used afterwards, else which of several tied rows stays is left to chance."""
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rank = 1").drop("_rank")
 
 
@@ -98,8 +98,8 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int) -> DataF
     return df.groupBy(*keys, "_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count("*").alias("n")).drop("_no")
 
 
-def refill_gaps(fills: DataFrame, keys: list[str], date: str, days_supply: str) -> DataFrame:
-    """gap_days between a fill and the end of the previous fill's supply; is_gap if any."""
-    w = Window.partitionBy(*keys).orderBy(date)
+def refill_gaps(fills: DataFrame, keys: list[str], date: str, days_supply: str, fill_id: str) -> DataFrame:
+    """gap_days between a fill and the end of the previous fill's supply; is_gap if any. Fills of a day come in the order of their ids."""
+    w = Window.partitionBy(*keys).orderBy(date, fill_id)
     end = F.lag(F.date_add(F.col(date), F.col(days_supply).cast("int"))).over(w)
     return fills.withColumn("supply_end", end).withColumn("gap_days", F.datediff(F.col(date), F.col("supply_end"))).withColumn("is_gap", F.coalesce(F.col("gap_days") > 0, F.lit(False)))

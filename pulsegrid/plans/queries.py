@@ -93,7 +93,7 @@ DRUG = "['" + "', '".join(d.lower() for d in A.DRUGS) + "'][l_partkey % 7 + 1]"
 FILLS = f"""
 fl AS (SELECT l_orderkey || '-' || l_linenumber AS rx_id, 'PH' || l_suppkey AS pharmacy_patient_id, CASE WHEN l_partkey % 7 < 6 THEN {DRUG} WHEN l_partkey % 2 = 0 THEN 'omeprazole' END AS drug,
         {dkey("l_shipdate")} AS date_key, CAST(l_shipdate AS DATE) AS fill_date, CAST(l_linenumber - 1 AS INTEGER) AS refill_number, CASE l_linestatus WHEN 'O' THEN 'active' ELSE 'complete' END AS status FROM lineitem),
-ff AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rx_id ORDER BY date_key, refill_number, status) AS rn FROM fl) WHERE rn = 1)"""
+ff AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rx_id ORDER BY date_key, refill_number, status, {key("drug")}, {key("pharmacy_patient_id")}) AS rn FROM fl) WHERE rn = 1)"""
 CHANGES = """
 ch AS (SELECT CAST(o_orderkey AS VARCHAR) AS rx_id, 'c' AS op, o_orderstatus AS status, o_custkey AS patient, CAST(epoch(o_orderdate) AS BIGINT) * 1000 AS ts_ms, o_orderkey * 3 AS off FROM orders
        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'u', 'X', o_custkey, CAST(epoch(o_orderdate) AS BIGINT) * 1000 + 86400000, o_orderkey * 3 + 1 FROM orders WHERE o_orderkey % 2 = 0
@@ -194,11 +194,10 @@ def e7_sustained_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {FILLS}, g AS (SELECT pharmacy_patient_id, drug, fill_date, refill_number, rx_id, lag(fill_date + 30) OVER (PARTITION BY pharmacy_patient_id, drug ORDER BY fill_date, rx_id) AS e FROM ff WHERE drug IS NOT NULL) SELECT rx_id, CAST(fill_date - e AS INTEGER) AS gap_days, coalesce(fill_date > e, FALSE) AS is_gap FROM g")
 def e8_refill_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    df = windows.keep_first(A.fills(spark, sf), ["rx_id"], "fill_date", "refill_number", "status")
-    df = df.withColumn("drug", F.coalesce(F.when(K.first_word("drug_name") != "ibuprofen", K.first_word("drug_name")), K.drug_of_ndc("ndc_code"))).filter("drug IS NOT NULL").withColumn("day", F.to_date("fill_date"))
-    w = Window.partitionBy("pharmacy_patient_id", "drug").orderBy("day", "rx_id")
-    df = df.withColumn("supply_end", F.lag(F.date_add("day", F.col("days_supply"))).over(w)).withColumn("gap_days", F.datediff("day", "supply_end"))
-    return df.select("rx_id", "gap_days", F.coalesce(F.col("gap_days") > 0, F.lit(False)).alias("is_gap"))
+    df = A.fills(spark, sf).withColumn("drug", F.coalesce(F.when(K.first_word("drug_name") != "ibuprofen", K.first_word("drug_name")), K.drug_of_ndc("ndc_code"))).withColumn("day", F.to_date("fill_date"))
+    df = df.withColumn("drug_key", K.surrogate_key("drug")).withColumn("patient_key", K.surrogate_key("pharmacy_patient_id"))
+    df = windows.keep_first(df, ["rx_id"], "day", "refill_number", "status", "drug_key", "patient_key").filter("drug IS NOT NULL")
+    return windows.refill_gaps(df, ["pharmacy_patient_id", "drug"], "day", "days_supply", "rx_id").select("rx_id", "gap_days", "is_gap")
 
 
 @query("SELECT event_type, event_id, value, rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank FROM events) WHERE rank <= 3")
@@ -415,7 +414,10 @@ def l7_fuzzy_links(spark: SparkSession, sf: str) -> DataFrame:
     return identity.fuzzy_links(p, p, ["p_brand", "p_size"], "p_name").filter("p_partkey < p_partkey_b").select("p_partkey", "p_partkey_b", r4("similarity").alias("similarity"))
 
 
-@query()
+@query("""WITH RECURSIVE ed AS (SELECT DISTINCT 'o' || l_orderkey AS x, 's' || l_suppkey || '-' || (l_partkey % 400) AS y FROM lineitem), e AS (SELECT x AS a, y AS b FROM ed UNION ALL SELECT y, x FROM ed),
+cc(node, component) USING KEY (node) AS (SELECT a, least(a, min(b)) FROM e GROUP BY a
+UNION SELECT e.b, min(cc.component) FROM cc JOIN e ON cc.node = e.a JOIN recurring.cc AS old ON old.node = e.b WHERE cc.component < old.component GROUP BY e.b)
+SELECT node, component FROM cc""")
 def l8_components(spark: SparkSession, sf: str) -> DataFrame:
     li = A.load(spark, sf, "lineitem")
     e = li.select(F.concat(F.lit("o"), F.col("l_orderkey")).alias("src"), F.concat(F.lit("s"), F.col("l_suppkey"), F.lit("-"), F.col("l_partkey") % 400).alias("dst"))

@@ -17,9 +17,11 @@ BRONZE_COLUMNS = ["raw_value", "kafka_topic", "kafka_partition", "kafka_offset",
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A new folder below the one that the cluster names in spark.checkpoint.dir; where that is unset, a temporary one for a local master, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="pulsegrid-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/pulsegrid/{uuid.uuid4().hex}"

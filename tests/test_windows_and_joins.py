@@ -33,7 +33,7 @@ def test_runs_sessions_trend_gaps(spark):
     d = spark.createDataFrame([("m", date(2024, 1, k), float(v)) for k, v in ((1, 10), (2, 20), (3, 15), (20, 1))], "m string, d date, v double")
     assert [r.direction for r in windows.trend(d, ["m"], "d", "v").orderBy("d").collect()] == [None, "up", "stable", None]
     f = spark.createDataFrame([("p", date(2024, 1, 1), 10), ("p", date(2024, 1, 11), 10), ("p", date(2024, 1, 30), 10)], "p string, d date, n int")
-    assert [(r.gap_days, r.is_gap) for r in windows.refill_gaps(f, ["p"], "d", "n").orderBy("d").collect()] == [(None, False), (0, False), (9, True)]
+    assert [(r.gap_days, r.is_gap) for r in windows.refill_gaps(f, ["p"], "d", "n", "d").orderBy("d").collect()] == [(None, False), (0, False), (9, True)]
 
 
 def test_point_in_time(spark):
