@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+
+from pulsegrid.sources.tables import shared_folder as work_dir
 
 #: Text bytes that one step of a Python task holds at a time; a single longer text is a step of its own.
 SLICE_BYTES = 4 << 20
@@ -27,17 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder below the shared one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="pulsegrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/pulsegrid/{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame) -> DataFrame:
     """df, written to the shared folder and read again: cuts the lineage, survives lost executors."""
     path = work_dir(df.sparkSession)
@@ -45,13 +37,28 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: A side of at most this many narrow rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
+#: A side of at most so many bytes may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def _bytes(c: Column, t: DataType) -> Column:
+    if isinstance(t, StringType | BinaryType):
+        return 24 + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(t, StructType):
+        return reduce(Column.__add__, [_bytes(c[f.name], f.dataType) for f in t.fields], F.lit(16))
+    if isinstance(t, ArrayType):
+        return 32 + F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + _bytes(x, t.elementType)), F.lit(0))
+    return F.lit(1024 if isinstance(t, MapType) else 16)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how much memory a row of df takes."""
+    return reduce(Column.__add__, [_bytes(F.col(f"`{f.name}`"), f.dataType).cast("long") for f in df.schema.fields], F.lit(16))
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df (narrow, and cheap to count), marked for broadcast if it is counted to have at most `rows` rows; else left to the optimizer's shuffled joins."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df (stored, as it is read here), marked for broadcast if all its rows are counted to take at most `limit` bytes; else left to the optimizer's shuffled joins."""
+    return F.broadcast(df) if (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= limit else df
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -1,22 +1,26 @@
-"""Benchmark decontamination with a positional inverted index, in DataFrame functions only.
+"""Benchmark decontamination with a distributed positional inverted index, in DataFrame functions only.
 
-Queries are the benchmark's windows: 13 consecutive words of an item, or all words of an item that has fewer. The index
-is partitioned by document, where the documents lie: each word of a text is a posting (term, document, position). First
-the corpus frequency of every benchmark term is counted over all documents. A window with a term that never occurs is
-done; every other one is looked up by its rarest term: that term's postings, moved back by its offset in the window, are
-the candidate places; they are intersected with the postings of its second rarest term and then of all its terms at their
-offsets. The words next to a posting are at hand in its document, so no list but the rarest ever leaves the scan.
+One pass over the texts stores the index: a posting (term, row, position) for every word that the benchmark has too. Each
+task writes the postings of its own documents as a segment that is sorted by term, so nothing is shuffled, a frequent term
+is spread over all segments, and a lookup of rare terms skips most pages of a segment. A posting of the term END stands for
+each row of docs and holds its columns and its number of words, so that index and rows come from the same job.
 
-Windows meet the postings as a broadcast of at most WINDOWS_AT_ONCE rows; a larger benchmark is looked up in blocks.
+Queries are the benchmark's windows: 13 consecutive words of an item, or all words of an item that has fewer. The lists of
+a window's terms, moved back by the terms' offsets, are intersected from the rarest: the postings of the rarest term give
+the candidate places (row, start); the second list is joined to them by term, row and place; then all the other lists at
+once, of the rows that are left. Every join has the row in its key, so no term's list is ever one task's work. A place
+where all terms stand exactly at their offsets is a phrase match. A place where each of them stands within `slop` words of
+its offset is a proximity match; phrase matches are ones too. The rarest term's own place counts as exact, so a proximity
+match is named by the start that it implies, which can lie before the text.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z are lower-cased. Null and empty texts have no words. Items
 without an id are ignored; texts of items that share an id count for that id together. Repeated documents give a row
-each; a null doc_id stays null; empty tables give no rows or no hits; other columns are ignored.
+each; a null doc_id stays null; empty tables give no rows or no hits; other columns are ignored. Of equally rare terms of a
+window the earlier comes first.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,10 +29,13 @@ from pyspark.sql import functions as F
 from .common import id_and_text, small_side, stored
 
 WORDS = 13
-WINDOWS_AT_ONCE = 100_000
+SLOP = 5
+#: The term of the postings that stand for whole rows.
+END = -1
 #: What is not a word, before and after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 KEY = ["doc_id", "text_hash", "text_size"]
+PLACE = ["window", "row", "start"]
 
 
 def words(text: Column | str) -> Column:
@@ -41,97 +48,120 @@ def ascii_lower(c: Column) -> Column:
 
 
 def windows(benchmark: DataFrame, size: int = WORDS, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(phrase, terms, length, items): each distinct window once, with the ids of its items."""
+    """(terms, length, item): each window of each item once. At most 62 words make a window."""
+    if not 0 < size < 63:
+        raise ValueError("a window has 1 to 62 words")
     df = benchmark.filter(F.col(item_id).isNotNull()).select(F.col(item_id).cast("string").alias("item"), words(ascii_lower(F.col(text).cast("string"))).alias("w"))
     df = df.filter(F.size("w") > 0).withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - size, F.lit(0)))))
-    df = df.withColumn("terms", F.slice("w", F.col("at") + 1, F.lit(size)))
-    out = df.groupBy("terms").agg(F.collect_set("item").alias("items"))
-    return out.select(F.array_join("terms", " ").alias("phrase"), "terms", F.size("terms").alias("length"), "items")
-
-
-def postings(docs: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """(doc_id, text_hash, text_size, term, position) of every word of docs (doc_id, text), terms in lower case, and what `extra` names; a last posting of the empty term stands after each text."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), words("text").alias("words"))
-    out = keyed.select(*KEY, "words", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("position", "written"))
-    return out.select(*KEY, F.lower("written").alias("term"), "position", *(extra or []))
-
-
-def in_blocks(df: DataFrame, by: Column, rows: int) -> list[DataFrame]:
-    """df in parts of about `rows` rows at most, each marked for broadcast."""
-    n = -(-df.count() // rows)
-    return [F.broadcast(df if n <= 1 else df.filter(F.pmod(F.xxhash64(by), F.lit(n)) == k)) for k in range(max(n, 1))]
-
-
-def term_counts(docs: DataFrame, wanted: DataFrame, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
-    """(term, n): how often each wanted term occurs in all documents; terms that never do are missing."""
-    parts = [postings(docs).select("term").join(part, "term").groupBy("term").agg(F.count("*").alias("n")) for part in in_blocks(wanted, F.col("term"), at_once)]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def anchored(queries: DataFrame, docs: DataFrame, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
-    """The windows all of whose terms occur, with their two rarest terms and these terms' offsets. Equal counts: the earlier term."""
-    each = queries.select("phrase", "length", "items", F.posexplode("terms").alias("offset", "t")).withColumn("term", F.lower("t"))
-    counts = term_counts(docs, stored(each.select("term").distinct()), at_once)
-    ranked = each.join(counts, "term").groupBy("phrase", "length", "items").agg(F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("r")).filter("size(r) = length")
-    second = F.coalesce(F.get("r", F.lit(1)), F.get("r", F.lit(0)))
-    return ranked.select("phrase", "length", "items", F.col("r")[0]["term"].alias("term"), F.col("r")[0]["offset"].alias("offset"), second["term"].alias("term2"), (second["offset"]).alias("offset2"))
-
-
-def occurrences(docs: DataFrame, anchors: DataFrame, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
-    """(doc_id, text_hash, text_size, start, length, items) of every place where a window occurs; and for each row of docs one of length 0 whose start is the text's number of words."""
-    end = anchors.limit(0).unionByName(anchors.sparkSession.range(1).select(F.lit("").alias("phrase"), F.lit(0).alias("length"), F.lit(None).cast("array<string>").alias("items"), F.lit("").alias("term"), F.lit(0).alias("offset"), F.lit("").alias("term2"), F.lit(0).alias("offset2")))
-    parts = []
-    for k, part in enumerate(in_blocks(anchors, F.col("term"), at_once)):
-        table = F.broadcast(part.unionByName(end)) if k == 0 else part
-        start = F.col("position") - F.col("offset")
-        found = postings(docs, ["words"]).join(table, "term").withColumn("start", start)
-        near = (F.col("length") == 0) | ((F.col("start") >= 0) & (F.lower(F.get("words", F.col("start") + F.col("offset2"))) == F.col("term2")))
-        whole = (F.col("length") == 0) | (ascii_lower(F.array_join(F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("length")), " ")) == F.col("phrase"))
-        parts.append(found.filter(near).filter(whole).select(*KEY, "start", "length", "items"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per distinct (doc_id, text): its key, copies, n_words, n_hit (words inside any window's occurrence), n_items, items_sha256 and contaminated."""
-    docs = id_and_text(docs, doc_id, text)
-    anchors = stored(anchored(stored(windows(benchmark, size)), docs))
-    found = occurrences(docs, anchors).groupBy(*KEY, "start", "length").agg(F.count("*").alias("copies"), F.any_value("items").alias("items"))
-    before = Window.partitionBy(*KEY).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.coalesce(F.max(F.col("start") + F.col("length")).over(before), F.lit(0))
-    found = found.withColumn("covered", F.greatest(F.lit(0), F.col("start") + F.col("length") - F.greatest("start", reach)))
-    items = F.array_sort(F.array_distinct(F.flatten(F.collect_set("items"))))
-    out = found.groupBy(*KEY).agg(F.max(F.when(F.col("length") == 0, F.col("copies"))).alias("copies"), F.max(F.when(F.col("length") == 0, F.col("start"))).cast("long").alias("n_words"), F.sum("covered").cast("long").alias("n_hit"), items.alias("items"))
-    hit = F.col("n_hit")
-    return out.select(*KEY, "copies", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), ((hit > 0) & (share * hit >= F.col("n_words"))).alias("contaminated"))
+    return df.select(F.slice("w", F.col("at") + 1, F.lit(size)).alias("terms"), "item").distinct().withColumn("length", F.size("terms"))
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with a number for each row, stored, so that the numbers stay."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+
+
+def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """The stored postings (term, row, position) of docs (doc_id, text) for the words in terms (word, term); those of END also have doc_id, text_hash and text_size, and the row's number of words as position."""
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), words("text").alias("words"), F.monotonically_increasing_id().alias("row"))
+    each = base.select("row", *KEY, F.posexplode(F.concat("words", F.array(F.lit("")))).alias("position", "written"))
+    known = terms.select("word", "term").unionByName(docs.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(END).cast("long").alias("term")))
+    known = small_side(stored(known.withColumn("low", F.lower("word")).withColumn("plain", F.col("low") == F.col("word"))))
+    # lower() also changes letters beyond A-Z: words that have any are compared as they should be lower-cased
+    same = F.when(F.octet_length("written") == F.length("written"), F.col("plain")).otherwise(ascii_lower(F.col("written")) == F.col("word"))
+    found = each.join(known, (F.lower("written") == F.col("low")) & same)
+    own = [F.when(F.col("term") == END, F.col(c)).alias(c) for c in KEY]
+    return stored(found.select("term", "row", "position", *own).sortWithinPartitions("term"))
+
+
+def ranked(each: DataFrame, terms: DataFrame, postings: DataFrame) -> DataFrame:
+    """(window, length, r): the windows all of whose terms occur, with (n, offset, term) of each term from the rarest. each: window, length, offset, word."""
+    n = postings.filter(F.col("term") != END).groupBy("term").agg(F.count("*").alias("n"))
+    counted = small_side(stored(terms.join(n, "term")))
+    return each.join(counted, "word").groupBy("window", "length").agg(F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("r")).filter("size(r) = length")
+
+
+def near(places: DataFrame, lists: DataFrame, slop: int) -> DataFrame:
+    """places (window, row, start, length, term, offset, and others), with `off`: how far each posting of the term within `slop` words is from its place. lists: term, row, position."""
+    width = 2 * slop + 1
+    goal = F.col("start") + F.col("offset")
+    cell = lambda c: F.floor(c / width)
+    at = places.withColumn("cell", F.explode(F.array_distinct(F.array(cell(goal - slop), cell(goal + slop)))))
+    found = at.join(lists.withColumn("cell", cell(F.col("position"))), ["term", "row", "cell"]).withColumn("off", F.abs(F.col("position") - goal))
+    return found.filter(F.col("off") <= slop).drop("cell", "position")
+
+
+def bits(found: DataFrame) -> DataFrame:
+    """Of each place how many of its offsets have a posting nearby (`near`), and how many have one exactly there (`exact`)."""
+    bit = F.expr("shiftleft(1L, offset)")
+    return found.groupBy(*PLACE, "length").agg(F.bit_count(F.bit_or(bit)).alias("near"), F.bit_count(F.coalesce(F.bit_or(F.when(F.col("off") == 0, bit)), F.lit(0).cast("long"))).alias("exact"))
+
+
+def matches(postings: DataFrame, queries: DataFrame, slop: int = SLOP) -> DataFrame:
+    """(window, row, start, length, phrase): the places of all phrase and proximity matches, stored. queries: as `ranked` gives them."""
+    lists = postings.filter(F.col("term") != END).select("term", "row", "position")
+    queries = stored(queries)
+    nth = lambda k: F.get("r", F.lit(k))
+    first = small_side(stored(queries.select("window", "length", nth(0)["term"].alias("term"), nth(0)["offset"].alias("offset"), nth(1).alias("second"))))
+    start = lists.join(first, "term").withColumn("start", F.col("position") - F.col("offset")).select(*PLACE, "length", "second")
+    seconds = small_side(stored(queries.select(nth(1)["term"].alias("term")).filter("term IS NOT NULL").distinct()))
+    pairs = near(start.filter("length > 1").select(*PLACE, "length", "second.term", "second.offset"), lists.join(seconds, "term", "left_semi"), slop)
+    two = stored(bits(pairs).select(*PLACE, "length", "exact"))
+    rows = small_side(stored(two.filter("length > 2").select("row").distinct()))
+    rest = small_side(queries.filter("length > 2").select("window", F.explode(F.slice("r", F.lit(3), F.col("length"))).alias("t")).select("window", "t.term", "t.offset"))
+    others = bits(near(two.filter("length > 2").join(rest, "window"), lists.join(rows, "row", "left_semi"), slop)).filter("near = length - 2")
+    others = others.withColumnRenamed("exact", "more").select(*PLACE, "more").join(two.filter("length > 2"), PLACE)
+    whole = others.select(*PLACE, "length", (F.col("more") + F.col("exact") == F.col("length") - 1).alias("phrase"))
+    one = start.filter("length = 1").select(*PLACE, "length", F.lit(True).alias("phrase"))
+    return stored(one.unionByName(two.filter("length = 2").select(*PLACE, "length", (F.col("exact") == 1).alias("phrase"))).unionByName(whole))
+
+
+def search(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, slop: int = SLOP) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The index of docs (doc_id, text), the matches of the benchmark's windows in it, and (window, item)."""
+    each = stored(windows(benchmark, size))
+    named = numbered(each.select("terms", "length").distinct(), "window")
+    spread = named.select("window", "length", F.posexplode("terms").alias("offset", "word"))
+    terms = numbered(spread.select("word").distinct(), "term")
+    postings = index(docs, terms)
+    items = named.join(each, ["terms", "length"]).select("window", "item")
+    return postings, matches(postings, ranked(spread, terms, postings), slop), items
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share: int = 20, slop: int = SLOP, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of docs: doc_id, text_hash, text_size, n_words, n_hit (words inside any window's phrase match), n_items, items_sha256, contaminated and n_near (proximity matches, phrase matches included)."""
+    postings, found, of_window = search(id_and_text(docs, doc_id, text), benchmark, size, slop)
+    exact = found.filter("phrase")
+    places = exact.select("row", "start", "length").distinct()
+    before = Window.partitionBy("row").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("start") + F.col("length")
+    reach = F.coalesce(F.max(end).over(before), F.lit(0))
+    hits = places.withColumn("covered", F.greatest(F.lit(0), end - F.greatest("start", reach))).groupBy("row").agg(F.sum("covered").alias("n_hit"))
+    items = exact.select("row", "window").distinct().join(small_side(stored(of_window)), "window").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    close = found.groupBy("row").agg(F.count("*").alias("n_near"))
+    rows = postings.filter(F.col("term") == END).select("row", *KEY, F.col("position").cast("long").alias("n_words"))
+    out = rows.join(hits, "row", "left").join(items, "row", "left").join(close, "row", "left")
+    hit, own = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
+    return out.select(*KEY, "n_words", hit.alias("n_hit"), F.size(own).cast("long").alias("n_items"), F.sha2(F.array_join(own, ",").cast("binary"), 256).alias("items_sha256"), ((hit > 0) & (share * hit >= F.col("n_words"))).alias("contaminated"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
-    """The same per row of docs, without the key's hash."""
-    each = contamination(docs, benchmark, **kw).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return each.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    """The same without the text's key."""
+    return contamination(docs, benchmark, **kw).drop("text_hash", "text_size")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, that are not contaminated."""
-    bad = stored(contamination(docs, benchmark, doc_id=doc_id, text=text).filter("contaminated").select(*(F.col(c).alias(f"__{c}") for c in KEY)))
-    bad = small_side(bad)
+    bad = contamination(docs, benchmark, doc_id=doc_id, text=text).filter("contaminated").select(*(F.col(c).alias(f"__{c}") for c in KEY)).distinct()
+    bad = small_side(stored(bad))
     same = docs[doc_id].cast("long").eqNullSafe(bad["__doc_id"]) & (F.xxhash64(docs[text].cast("string")) == bad["__text_hash"]) & (F.octet_length(docs[text].cast("string")) == bad["__text_size"])
     return docs.join(bad, same, "left_anti")
 
 
-def proximity(docs: DataFrame, benchmark: DataFrame, slop: int = 5, size: int = WORDS, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
-    """(doc_id, phrase, start, end): the narrowest span around each posting of a window's rarest term that holds the term after it in rarity no more than `slop` words off its exact place. An exact match has it at its place."""
-    docs = id_and_text(docs)
-    anchors = stored(anchored(stored(windows(benchmark, size)), docs, at_once))
-    parts = []
-    for part in in_blocks(anchors, F.col("term"), at_once):
-        found = postings(docs, ["words"]).join(part, "term")
-        place = F.col("position") + F.col("offset2") - F.col("offset")
-        first = F.greatest(place - slop, F.lit(0))
-        around = F.slice("words", first + 1, F.greatest(place + slop + 1 - first, F.lit(0)))
-        found = found.withColumn("near", F.array_position(F.transform(around, F.lower), F.col("term2"))).withColumn("second", first + F.col("near") - 1)
-        parts.append(found.filter("near > 0").select("doc_id", "phrase", F.least("position", "second").alias("start"), (F.greatest("position", "second") + 1).alias("end")))
-    return reduce(DataFrame.unionByName, parts).distinct()
+def phrase_and_proximity(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, slop: int = SLOP) -> DataFrame:
+    """(doc_id, item_id, window, start, length, phrase): every match of every item's windows; `window` tells an item's windows apart."""
+    postings, found, items = search(id_and_text(docs), benchmark, size, slop)
+    rows = postings.filter(F.col("term") == END).select("row", "doc_id")
+    return found.join(rows, "row").join(items, "window").select("doc_id", F.col("item").alias("item_id"), "window", "start", "length", "phrase")
 
 
 ORACLE = r"""
@@ -143,8 +173,15 @@ p AS (SELECT doc_id, i, n, array_to_string(w[i + 1 : i + n], ' ') AS phrase
       FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM q) WHERE len(w) >= n)),
 h AS (SELECT p.doc_id, p.i, p.n, q.item FROM p JOIN q USING (phrase, n)),
 c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h) GROUP BY doc_id),
-s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id),
+x AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM d),
+t AS (SELECT phrase, n, unnest(string_split(phrase, ' ')) AS term, unnest(range(n)) AS o FROM (SELECT DISTINCT phrase, n FROM q)),
+r AS (SELECT t.*, row_number() OVER (PARTITION BY phrase ORDER BY c, o) AS k, count(c) OVER (PARTITION BY phrase) AS known FROM t LEFT JOIN (SELECT term, count(*) AS c FROM x GROUP BY term) USING (term)),
+f AS (SELECT phrase, n, doc_id, pos - o AS s FROM r JOIN x USING (term) WHERE k = 1 AND known = n),
+near AS (SELECT f.doc_id, f.phrase, f.s FROM f JOIN r ON r.phrase = f.phrase AND k > 1 JOIN x ON x.doc_id = f.doc_id AND x.term = r.term AND abs(pos - o - s) <= 5
+         GROUP BY f.doc_id, f.phrase, f.s, f.n HAVING count(DISTINCT o) = f.n - 1 UNION ALL SELECT doc_id, phrase, s FROM f WHERE n = 1),
+m AS (SELECT doc_id, count(*) AS n_near FROM near GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id)
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN m USING (doc_id)
 """

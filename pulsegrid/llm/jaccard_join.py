@@ -8,8 +8,9 @@ Candidates come from chosen paths. In every run each set samples the token that
 sampled the same token share a bucket: a pair shares it with the probability of its similarity. A bucket of more than
 `bucket` sets is split again, up to `depth` times, by two further sampled tokens per set, chosen by the path so far; small
 buckets are compared by brute force. Runs are repeated until a pair at the threshold has been together with probability
-`recall`. Buckets that stay large hold sets that mostly are similar: they are compared in tiles of about `tile` sets, so
-that no task gets a whole bucket. Nothing is capped, and no pair is ever a row.
+`recall`, also if it was split `depth` times. Buckets that stay large hold sets that mostly are similar: they are compared
+in tiles, which hold about `tile` sets or TILE_TOKENS shingles to a side, so that no task gets a whole bucket and long texts
+make small tiles; a single text's set is held whole. Nothing is capped, and no pair is ever a row.
 
 Buckets compare sketches, 64 sampled tokens of 16 bits for each set: a pair is plausible if half of them agree, which a
 pair at the threshold misses with a probability of about one in 10^8. Components of plausible pairs are a coarse grouping
@@ -31,10 +32,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from pulsegrid.operators.identity import connected_components
+
 from .common import id_and_text, mix, ngram_hashes, slices, small_batches, small_side, stored, word_hashes, words_of
 
 SHINGLE = 5
@@ -43,18 +46,18 @@ OVER, UNDER = 4, 5
 RECALL = 1 - 1e-6
 BUCKET = 1000
 TILE = 1024
+TILE_TOKENS = 2 << 20
 DEPTH = 2
 #: Sampled tokens of a sketch, 16 bits of each, and how many must agree.
 MARKS = 64
 AGREE = 32
-#: Up to so many texts with company are found by a broadcast of their keys; more by a shuffle of the texts.
-WANTED_AT_ONCE = 300_000
 SEED = 0x51ED270B0A1F39C1
 
 
-def runs_for(recall: float, similarity: float = OVER / UNDER) -> int:
-    """Runs after which a pair at the threshold has shared a bucket with the given probability."""
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity)))
+def runs_for(recall: float, depth: int = DEPTH, similarity: float = OVER / UNDER) -> int:
+    """Runs after which a pair at the threshold has shared a bucket with the given probability. A pair stays together in a split if it does by one of two tokens."""
+    together = similarity * (1 - (1 - similarity) ** 2) ** depth
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - together)))
 
 
 def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -99,10 +102,10 @@ def _longs(h: np.ndarray) -> pa.Array:
 
 
 def sketch(docs: DataFrame, runs: int, keep: list[str]) -> DataFrame:
-    """The columns in `keep`, text_hash, text_size, sid (16 bytes that name the set, null without words), the runs' tokens and the sketch."""
+    """The columns in `keep`, text_hash, text_size, sid (16 bytes that name the set, null without words), size (of the set), the runs' tokens and the sketch."""
     small_batches(docs.sparkSession)
     df = docs.select(*keep, F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), "text")
-    schema = df.drop("text").schema.add("sid", "binary").add("tokens", ArrayType(LongType())).add("marks", "binary")
+    schema = df.drop("text").schema.add("sid", "binary").add("size", "integer").add("tokens", ArrayType(LongType())).add("marks", "binary")
     n = len(df.columns) - 1
     seeds = [seed_of(r) for r in range(runs)]
     factors = [np.uint64(seed_of("mark", k) | 1) for k in range(MARKS)]
@@ -121,7 +124,7 @@ def sketch(docs: DataFrame, runs: int, keep: list[str]) -> DataFrame:
             if has.any():
                 least = np.stack([np.minimum.reduceat(h * f, own[:-1]) for f in factors], 1)
                 marks[has] = [x.tobytes() for x in (mix(least) >> np.uint64(48)).astype("<u2")]
-            yield pa.RecordBatch.from_arrays([*s.columns[:n], pa.array(sid, pa.binary()), lists, pa.array(marks, pa.binary())], names=[*s.schema.names[:n], "sid", "tokens", "marks"])
+            yield pa.RecordBatch.from_arrays([*s.columns[:n], pa.array(sid, pa.binary()), pa.array(np.diff(first), pa.int32()), lists, pa.array(marks, pa.binary())], names=[*s.schema.names[:n], "sid", "size", "tokens", "marks"])
 
     return df.mapInArrow(run, schema)
 
@@ -131,7 +134,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), "text")
     same = (F.col("d.text_hash") == F.col("w.text_hash")) & (F.col("d.text_size") == F.col("w.text_size")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
     rest = [c for c in wanted.columns if c not in ("sid", "doc_id", "text_hash", "text_size")]
-    texts = keyed.alias("d").join(small_side(wanted, WANTED_AT_ONCE).alias("w"), same).select("sid", "text", *rest)
+    texts = keyed.alias("d").join(small_side(wanted).alias("w"), same).select("sid", "text", *rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -153,12 +156,12 @@ def split(buckets: DataFrame, level: int) -> DataFrame:
 
 
 def tiled(groups: DataFrame, tile: int) -> DataFrame:
-    """groups (group, sid, n: the group's size, and others) with block, tile (a pair of blocks) and mixed (two different ones), a tile's rows together; each two sets of a group meet in one tile at least."""
-    df = groups.withColumn("blocks", F.ceil(F.col("n") / tile).cast("int")).withColumn("block", F.pmod(F.xxhash64("sid", "group"), F.col("blocks")).cast("int"))
+    """groups (group, sid, n: the group's sets, tokens: these sets' shingles if whole sets are compared, and others) with block, tile (a pair of blocks) and mixed (two different ones), a tile's rows together; each two sets of a group meet in one tile at least."""
+    df = groups.withColumn("blocks", F.ceil(F.greatest(F.col("n") / tile, F.col("tokens") / TILE_TOKENS)).cast("int")).withColumn("block", F.pmod(F.xxhash64("sid", "group"), F.col("blocks")).cast("int"))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     df = df.withColumn("tile", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).withColumn("mixed", F.col("other") != F.col("block"))
     n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.drop("blocks", "other", "n").repartition(n, "group", "tile").sortWithinPartitions("group", "tile", "sid")
+    return df.drop("blocks", "other", "n", "tokens").repartition(n, "group", "tile").sortWithinPartitions("group", "tile", "sid")
 
 
 def linked(sets: list[np.ndarray]) -> np.ndarray:
@@ -247,7 +250,7 @@ def agreeing(marks: np.ndarray) -> np.ndarray:
 
 
 def plausible(groups: DataFrame, tile: int = TILE) -> DataFrame:
-    """(a, b): edges that connect all sets of a bucket whose sketches agree. groups: group, sid, n, marks."""
+    """(a, b): edges that connect all sets of a bucket whose sketches agree. groups: group, sid, n, tokens, marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -279,7 +282,7 @@ def _table(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def links(groups: DataFrame, tile: int = TILE) -> DataFrame:
-    """Of each tile: (a, b) edges that connect all linked sets, and (a, others) the rows of other sets that a's is linked to, each pair counted in one tile. groups: group, sid, n, copies, set."""
+    """Of each tile: (a, b) edges that connect all linked sets, and (a, others) the rows of other sets that a's is linked to, each pair counted in one tile. groups: group, sid, n, tokens, copies, set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
@@ -300,48 +303,44 @@ def links(groups: DataFrame, tile: int = TILE) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary, others long")
 
 
-def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(sid, label): the least sid of each component. Each round every node takes its neighbours' least label and then that label's own label."""
-    both = stored(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
-    label = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "sid"))
-    for _ in range(max_rounds):
-        near = both.join(label.withColumnRenamed("sid", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        hop = label.join(near, label["sid"] == near["a"]).select("sid", "label", F.least("label", "near").alias("next"))
-        jump = hop.join(label.select(F.col("sid").alias("s2"), F.col("label").alias("l2")), F.col("next") == F.col("s2"), "left")
-        new = stored(jump.select("sid", F.least("next", F.coalesce("l2", "next")).alias("label"), (F.least("next", F.coalesce("l2", "next")) != F.col("label")).alias("moved")))
-        label = new.select("sid", "label")
-        if new.filter("moved").limit(1).count() == 0:
-            return label
-    raise RuntimeError("components did not settle")
+def components(pairs: DataFrame) -> DataFrame:
+    """(sid, label): the least sid of each component."""
+    return connected_components(pairs, "a", "b").select(F.col("node").alias("sid"), F.col("component").alias("label"))
+
+
+def shared_paths(paths: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of paths (path, and others) whose path others have too, with their number n: those of at most `bucket` rows, and the rest. The paths of more are few and are looked up where the rows lie, so that no task gets all rows of a frequent one."""
+    counts = stored(paths.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"))
+    often = small_side(stored(counts.filter(F.col("n") > bucket)))
+    seen = paths.join(often, "path", "left")
+    return seen.filter("n IS NULL").drop("n").join(counts.filter(F.col("n") <= bucket), "path"), seen.filter("n IS NOT NULL")
 
 
 def near_duplicates(docs: DataFrame, recall: float = RECALL, bucket: int = BUCKET, tile: int = TILE, depth: int = DEPTH, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id (and the columns of `keep`), class_id and n_links."""
     source = docs
     docs = id_and_text(docs, doc_id, text)
-    runs = runs_for(recall)
+    runs = runs_for(recall, depth)
     base = docs if not keep else source.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *keep)
     rows = stored(sketch(base, runs, ["doc_id", *(keep or [])]))
-    reps = stored(rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash", "text_size")).alias("of"), F.any_value("tokens").alias("tokens"), F.any_value("marks").alias("marks")))
+    reps = stored(rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash", "text_size")).alias("of"), F.any_value("size").alias("size"), F.any_value("tokens").alias("tokens"), F.any_value("marks").alias("marks")))
     paths = reps.select("sid", F.posexplode("tokens").alias("run", "token")).select(F.xxhash64("run", "token").alias("path"), "sid")
-    shared = paths.join(paths.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path")
-    now = stored(shared.join(reps.select("sid", "marks"), "sid"))
-    buckets = []
+    small, large = shared_paths(paths, bucket)
+    marks = reps.select("sid", "marks")
+    buckets = [small.join(marks, "sid")]
+    now = stored(large.join(marks, "sid"))
     for level in range(depth):
-        buckets.append(now.filter(F.col("n") <= bucket))
-        large = now.filter(F.col("n") > bucket)
-        if large.isEmpty():
-            now = None
+        if now.isEmpty():
             break
-        child = split(large, level).distinct()
-        now = stored(child.join(child.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path"))
-    if now is not None:
-        buckets.append(now)
-    groups = reduce(DataFrame.unionByName, buckets).withColumnRenamed("path", "group")
+        small, large = shared_paths(stored(split(now, level).distinct()), bucket)
+        buckets.append(small)
+        now = stored(large)
+    groups = reduce(DataFrame.unionByName, [*buckets, now]).withColumnRenamed("path", "group").withColumn("tokens", F.lit(0))
     coarse = components(stored(plausible(groups, tile)))
 
-    size = coarse.groupBy("label").agg(F.count("*").alias("n"))
-    wanted = stored(coarse.join(size, "label").join(reps.select("sid", "copies", "of"), "sid").select("sid", "of.*", F.xxhash64("label").alias("group"), "n", "copies"))
+    each = stored(coarse.join(reps.select("sid", "size", "copies", "of"), "sid"))
+    whole = each.groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("tokens"))
+    wanted = stored(each.join(whole, "label").select("sid", "of.*", F.xxhash64("label").alias("group"), "n", "tokens", "copies"))
     found = stored(links(sets_of(docs, wanted), tile))
     label = components(found.filter("b IS NOT NULL").select("a", "b"))
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("sid")).agg(F.sum("others").alias("others"))
@@ -355,10 +354,26 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL, bucket: int = BUCKE
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs, with all their columns, but of each class only the row with the least doc_id; of rows that share it, one. docs must be a stored table, which is read more than once in the same order."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    found = stored(near_duplicates(numbered, keep=["__row"], doc_id=doc_id, text=text))
-    # rows without words stay; a class without any id is known by the set of its own
-    first = found.filter("sid IS NOT NULL").groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("sid")).alias("s")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row")).alias("x")).select(F.col("x.__row").alias("__row"))
-    gone = stored(found.filter("sid IS NOT NULL").select("__row").join(first, "__row", "left_anti"))
-    return numbered.join(small_side(gone), "__row", "left_anti").select(*docs.columns)
+    """docs, with all their columns, but of each class only the row with the least doc_id; of rows that share it, the one with the least hash of its text, and of rows that share id and text the one with the least hash of all columns.
+
+    Rows are known by their id and text, never by their place, so any order of reading gives the same rows. Rows without
+    words stay; a class without any id is known by the set of its own.
+    """
+    key = ["__id", "__hash", "__bytes"]
+    keyed = docs.select(*docs.columns, F.col(doc_id).cast("long").alias("__id"), F.xxhash64(F.col(text).cast("string")).alias("__hash"), F.octet_length(F.col(text).cast("string")).alias("__bytes"))
+    found = near_duplicates(keyed, keep=key, doc_id=doc_id, text=text).filter("sid IS NOT NULL")
+    each = stored(found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("sid")).alias("s"), *key).agg(F.count("*").alias("rows")))
+    first = each.groupBy("class_id", "s").agg(F.min(F.struct(F.col("__id").isNull().alias("unknown"), *key)).alias("x")).select("x.*").drop("unknown")
+    same = lambda a, b: reduce(Column.__and__, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in key])
+    each = stored(each.alias("e").join(first.alias("f"), same("e", "f"), "left").select("e.*", F.col("f.__hash").isNotNull().alias("stays")))
+    gone = small_side(stored(each.filter("NOT stays").select(*key)))
+    several = stored(each.filter("stays AND rows > 1").select(*key))
+    keyed = keyed.alias("d")
+    left = keyed.join(gone.alias("g"), same("d", "g"), "left_anti")
+    if several.isEmpty():
+        return left.select(*docs.columns)
+    again = small_side(several).alias("g")
+    single = left.join(again, same("d", "g"), "left_anti").select(*docs.columns)
+    row = F.struct(*(F.col(f"d.`{c}`") for c in docs.columns))
+    one = keyed.join(again, same("d", "g"), "left_semi").groupBy(*key).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
+    return single.unionByName(one)

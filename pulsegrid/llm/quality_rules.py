@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, id_and_text, mix, slices, small_batches, small_side, text_bytes, word_hashes, words_of
+from .common import SPACE, id_and_text, mix, slices, small_batches, small_side, stored, text_bytes, word_hashes, words_of
 
 #: Hash buckets of the multinomials; both tables of counts are this long, whatever the corpus.
 BUCKETS = 1 << 16
@@ -159,4 +159,4 @@ def score(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD, min
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, trusted): a document that has labels is trusted if all of them say quality 1."""
     good = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("good"))
-    return id_and_text(docs).join(small_side(good.filter("good = 1")), "doc_id", "left").select("text", F.col("good").isNotNull().alias("trusted"))
+    return id_and_text(docs).join(small_side(stored(good.filter("good = 1"))), "doc_id", "left").select("text", F.col("good").isNotNull().alias("trusted"))

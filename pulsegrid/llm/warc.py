@@ -101,7 +101,7 @@ def planned(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, page_id: str =
     df = df.withColumn("digest", F.sha2("payload", 256))
     groups = df.filter(F.octet_length("payload") >= revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("original"), F.count("*").alias("copies"), F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("least"))
     groups = groups.filter("copies > 1 AND original IS NOT NULL").select("digest", "original", F.col("least.url").alias("original_url"))
-    df = df.join(small_side(groups), "digest", "left")
+    df = df.join(small_side(stored(groups)), "digest", "left")
     same = F.coalesce((F.col("page_id") == F.col("original")) & F.col("url").eqNullSafe(F.col("original_url")), F.lit(False))
     df = df.withColumn("revisit", F.col("original").isNotNull() & ~same)
     # rows that repeat the response's page_id and url are equal: one of them stays, the others revisit it

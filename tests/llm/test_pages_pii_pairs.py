@@ -299,22 +299,47 @@ def test_contamination_equals_brute_force(spark):
     docs = [(0, p), (1, p.upper()), (2, p.lower().replace(" ", ", ")), (3, "x " * 300 + p), (4, "SHORT, item! short item"), (5, None), (6, ""), (7, " ".join(["LA"] * 50)), (8, "nothing here at all"), (0, p), (None, "short item"), (9, p.replace("theta", "tau")), (11, p.replace("Éta", "éta")), (12, "İ short item")]
     d = spark.createDataFrame(docs, DOCS).withColumn("n_hit", F.lit(1))
     b = spark.createDataFrame(bench, "item_id long, text string")
-    assert rows(decontaminate.report(d, b)) == sorted(brute_hits(docs, bench), key=str)
+    assert rows(decontaminate.report(d, b).drop("n_near")) == sorted(brute_hits(docs, bench), key=str)
     left = decontaminate.drop_contaminated(d, b)
     assert left.columns == d.columns and sorted(r.doc_id for r in left.collect()) == sorted(x[0] for x in brute_hits(docs, bench) if not x[5])
     assert decontaminate.report(d.limit(0), b).count() == 0
     assert {r.n_hit for r in decontaminate.report(d, b.limit(0)).collect()} == {0}
-    anchors = decontaminate.anchored(decontaminate.windows(b), decontaminate.id_and_text(d), 2).cache()
-    whole = decontaminate.occurrences(decontaminate.id_and_text(d), anchors).drop("items")
-    blocks = decontaminate.occurrences(decontaminate.id_and_text(d), anchors, at_once=2).drop("items")
-    assert rows(whole) == rows(blocks)
+    assert decontaminate.report(d, b, size=62).count() == len(docs)
 
 
-def test_proximity(spark):
+def brute_matches(docs, bench, size, slop):
+    """All phrase and proximity matches: every term within slop words of its place, seen from the rarest one's."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    texts = [(i, words(t)) for i, t in docs]
+    count = collections.Counter(x for _, w in texts for x in w)
+    out = set()
+    for item, b in bench:
+        q = words(b)
+        for a in range(max(1, len(q) - size + 1)) if q and item is not None else ():
+            terms = q[a : a + size]
+            rare = min(range(len(terms)), key=lambda k: (count[terms[k]], k))
+            for i, w in texts:
+                for at in (k - rare for k, x in enumerate(w) if x == terms[rare]):
+                    offs = [min((abs(k - at - o) for k, x in enumerate(w) if x == t), default=99) for o, t in enumerate(terms) if o != rare]
+                    if all(x <= slop for x in offs):
+                        out.add((i, str(item), tuple(terms), at, len(terms), not any(offs)))
+    return sorted((x[0], x[1], *x[3:]) for x in out)
+
+
+def test_phrases_and_proximity_equal_brute_force(spark):
+    import random
+
+    r = random.Random(6)
     p = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
-    docs = spark.createDataFrame([(1, p), (2, p.replace("gamma", "gamma new words")), (3, "alpha nothing")], DOCS)
-    got = decontaminate.proximity(docs, spark.createDataFrame([(1, p)], "item_id long, text string"), slop=3)
-    assert {r.doc_id for r in got.collect()} == {1, 2}
+    docs = [(1, p), (2, p.replace("gamma", "gamma new words")), (3, "alpha nothing"), (4, "beta q q q alpha beta"), (5, "beta alpha"), (6, "mu x nu alpha beta gamma")]
+    docs += [(k, " ".join(r.choice(["alpha", "beta", "gamma", "x", "É"]) for _ in range(r.randint(0, 40)))) for k in range(10, 40)]
+    bench = [(1, p), (2, "alpha beta"), (3, "x"), (4, "gamma alpha É"), (5, "alpha absent"), (6, "beta beta x"), (None, "alpha")]
+    d, b = spark.createDataFrame(docs, DOCS), spark.createDataFrame(bench, "item_id long, text string")
+    for size, slop in ((13, 3), (4, 0), (3, 5)):
+        got = decontaminate.phrase_and_proximity(d, b, size, slop).drop("window").distinct().collect()
+        assert sorted(tuple(x) for x in got) == sorted(set(brute_matches(docs, bench, size, slop))), (size, slop)
+    with pytest.raises(ValueError):
+        decontaminate.windows(b, 63)
 
 
 def test_contamination_query_equals_duckdb(spark):
