@@ -1,15 +1,21 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are e-mail addresses, IPv4 addresses, card numbers and phone numbers of fixed forms (`base_spans`). The words around
-a seed are a lexical pattern; so are those around other strings that might be an identifier (candidates). Patterns and
-instances form a bipartite graph, which Spark scores in rounds: a pattern's confidence for a kind is the mean score of its
-distinct instances, and a candidate of fitting shape takes the best confidence of its patterns. Candidates that reach
-`min_confidence` through a pattern with at least `min_support` accepted instances join the seeds of the next round. The
-final spans are the seeds' and the accepted candidates'; seeds are never dropped.
+Seeds are e-mail addresses, IPv4 addresses, card numbers and phone numbers of fixed forms (`base_spans`), and secrets of two
+fixed forms (`secrets`). The words around a seed are lexical patterns; so are those around other strings that might be an
+identifier (candidates). Patterns and instances form a bipartite graph, which Spark scores in rounds: a pattern's confidence
+for a kind is the share of the kind in its evidence, which is its accepted instances, each by its score, and the open ones
+whose shape excludes the kind; open ones of a fitting shape are no evidence. A candidate takes the best confidence of its
+patterns for a kind that its shape allows; that of the single word before it only if none of its longer patterns has
+`min_support` instances without being sure itself. Candidates that reach `min_confidence` through a pattern with at least
+`min_support` accepted instances join the seeds of the next round, in which all patterns are scored anew. The final spans
+are the seeds' and the accepted candidates'; seeds are never dropped.
+
+A shape allows a kind only where its definition does: a number of a card's length that fails the checksum is no card in any
+context, and a part of a longer word is no number. Such numbers count against their patterns.
 
 One pass over the texts finds seeds and candidates with their patterns; it is stored, and everything after works on that
 small table. Null and empty texts have no spans; a null doc_id stays null; repeated rows are searched each; an empty table
-gives no rows; other columns are ignored, or kept by `redact`. Equal starts are ordered email, ip, card, phone.
+gives no rows; other columns are ignored, or kept by `redact`. Equal starts are ordered email, ip, card, phone, secret.
 """
 
 from __future__ import annotations
@@ -25,12 +31,18 @@ from pyspark.sql import functions as F
 from .common import slices, small_batches, small_side, stored
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-NUMBER = re.compile(r"[0-9][0-9()./ -]*[0-9]")
+NUMBER = re.compile(r"(?<![A-Za-z0-9])[0-9][0-9()./ -]*[0-9](?![A-Za-z0-9])")
+#: The published form of access key ids, and hexadecimal keys of 64 bits or more.
+ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])")
+HEX_KEY = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{16,}(?![A-Za-z0-9])")
+#: A value that is given to a name.
+GIVEN = re.compile(r"(?<=[A-Za-z_][=:])[^\s\"'<>,;=:]{6,64}|(?<=[=:] \")[^\s\"<>]{6,64}|(?<=[=:]\")[^\s\"<>]{6,64}")
 SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?[\[(]dot[\])] ?)[A-Za-z0-9-]{1,64})+")
 ANY_DIGIT = re.compile("[0-9]")
 #: Characters of context looked at on either side.
@@ -94,20 +106,32 @@ def base_spans(t: str | None) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def secrets(t: str) -> list[tuple[str, int, int]]:
+    """Access key ids, and hexadecimal keys with letters and digits."""
+    out = [("secret", *m.span()) for m in ACCESS_KEY.finditer(t)] if "AKIA" in t or "ASIA" in t else []
+    for m in HEX_KEY.finditer(t):
+        if ANY_DIGIT.search(m.group()) and not m.group().isdigit():
+            out.append(("secret", *m.span()))
+    return out
+
+
 def candidates(t: str, taken: list[tuple[str, int, int]]) -> list[tuple[list[str], int, int]]:
-    """Other strings that could be an identifier, with the kinds that their shape allows; none of them meets a seed."""
+    """Other strings that could be an identifier, with the kinds that their shape allows, none for some numbers; none of them meets a seed."""
     found: list[tuple[list[str], int, int]] = []
     if "at)" in t or "at]" in t:
         found += [(["email"], *m.span()) for m in SPELLED.finditer(t)]
     for m in NUMBER.finditer(t):
-        n = sum(c.isdigit() for c in m.group())
-        kinds = ["card"] * (13 <= n <= 19) + ["phone"] * (7 <= n <= 15) + ["ip"] * (m.group().count(".") == 3 and 4 <= n <= 12)
-        if kinds:
+        d = "".join(filter(str.isdigit, m.group()))
+        n = len(d)
+        if n >= 4:
+            kinds = ["card"] * (13 <= n <= 19 and luhn(d)) + ["phone"] * (7 <= n <= 15) + ["ip"] * (m.group().count(".") == 3 and n <= 12)
             found.append((kinds, *m.span()))
+    if "=" in t or ":" in t:
+        found += [(["secret"], *m.span()) for m in GIVEN.finditer(t) if ANY_DIGIT.search(m.group())]
     out, k = [], 0
     taken = sorted(taken, key=lambda s: s[1])
     reach = 0
-    for kinds, a, b in sorted(found, key=lambda s: s[1]):
+    for kinds, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
         while k < len(taken) and taken[k][1] < b:
             reach = max(reach, taken[k][2])
             k += 1
@@ -118,10 +142,11 @@ def candidates(t: str, taken: list[tuple[str, int, int]]) -> list[tuple[list[str
 
 
 def patterns(t: str, start: int, end: int) -> list[str]:
-    """The two words before, and the words on either side."""
+    """The word before, the two words before, and the words on either side; digits are one sign."""
     left = [re.sub(r"[0-9]+", "9", w) for w in t[max(0, start - REACH) : start].lower().split()[-2:]]
     right = [re.sub(r"[0-9]+", "9", w) for w in t[end : end + REACH].lower().split()[:1]]
-    out = ["L " + " ".join(left)] if len(left) == 2 else []
+    out = [f"W {left[-1]}"] if left else []
+    out += ["L " + " ".join(left)] if len(left) == 2 else []
     return out + ([f"B {left[-1]} _ {right[0]}"] if left and right else [])
 
 
@@ -133,11 +158,11 @@ MENTION = "array<struct<start:long,end:long,kind:string,kinds:array<string>,inst
 
 
 def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The stored first pass: the columns in `keep`, row, n_email, n_ip, n_card, n_phone, base_sha256, base, mentions."""
+    """The stored first pass: the columns in `keep`, row, n_email, n_ip, n_card, n_phone, base_sha256, seeds, mentions."""
     small_batches(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
     df = docs.select(F.col(text).cast("string").alias("__text"), *keep)
-    own = ", ".join(["n_email long, n_ip long, n_card long, n_phone long, base_sha256 string", "base array<struct<start:long,rank:int,kind:string,end:long>>", f"mentions {MENTION}"])
+    own = ", ".join(["n_email long, n_ip long, n_card long, n_phone long, base_sha256 string", "seeds array<struct<start:long,rank:int,kind:string,end:long>>", f"mentions {MENTION}"])
     from pyspark.sql.types import _parse_datatype_string
 
     schema = df.drop("__text").schema
@@ -156,8 +181,9 @@ def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
                 for k, kind in enumerate(KINDS):
                     cols[k].append(sum(x[0] == kind for x in base))
                 cols[4].append(hashlib.sha256(digest(base).encode()).hexdigest())
-                cols[5].append([{"start": a, "rank": KINDS.index(k), "kind": k, "end": b} for k, a, b in base])
-                found = [(k, [], a, b) for k, a, b in base] + [(None, kinds, a, b) for kinds, a, b in candidates(t, base)] if t else []
+                sure = base + secrets(t) if t else base
+                cols[5].append([{"start": a, "rank": ALL_KINDS.index(k), "kind": k, "end": b} for k, a, b in sure])
+                found = [(k, [], a, b) for k, a, b in sure] + [(None, kinds, a, b) for kinds, a, b in candidates(t, sure)] if t else []
                 cols[6].append([{"start": a, "end": b, "kind": k, "kinds": ks, "instance": t[a:b].lower(), "patterns": patterns(t, a, b)} for k, ks, a, b in found])
             yield pa.RecordBatch.from_arrays([*s.columns[1:], *(pa.array(c, f.type) for c, f in zip(cols, tail, strict=True))], names=arrow.names)
 
@@ -173,19 +199,24 @@ def discover(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN
     for _ in range(rounds):
         # evidence against a kind: accepted instances of another one, and open ones whose shape excludes it; other open ones are no evidence
         known = accepted.select("instance", F.lit(1).alias("known")).distinct()
-        shut = [F.count(F.when(F.col("known").isNull() & ~F.array_contains("kinds", k), 1)).alias(f"not_{k}") for k in KINDS]
-        size = edges.join(known, "instance", "left").groupBy("pattern").agg(F.count("known").alias("known"), *shut)
+        shut = [F.count(F.when(F.col("known").isNull() & ~F.array_contains("kinds", k), 1)).alias(f"not_{k}") for k in ALL_KINDS]
+        size = edges.join(known, "instance", "left").groupBy("pattern").agg(F.count("known").alias("known"), F.count("*").alias("total"), *shut)
         held = edges.select("pattern", "instance").join(accepted, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count("*").alias("support"))
-        n = F.col("known") + F.coalesce(*[F.when(F.col("kind") == k, F.col(f"not_{k}")) for k in KINDS])
+        n = F.col("known") + F.coalesce(*[F.when(F.col("kind") == k, F.col(f"not_{k}")) for k in ALL_KINDS])
         sure = held.filter(F.col("support") >= min_support).join(size, "pattern").withColumn("confidence", F.col("s") / n).filter(F.col("confidence") >= min_confidence)
         open_ = edges.filter("kind IS NULL").select("pattern", "instance", "kinds").join(accepted.select("instance"), "instance", "left_anti")
+        # the word before says little where the longer contexts are usual ones of their own and not sure
+        usual = size.filter(~F.col("pattern").startswith("W ") & (F.col("total") >= min_support)).select("pattern").join(sure.select("pattern"), "pattern", "left_anti")
+        doubtful = open_.join(usual, "pattern").select("instance").distinct()
         best = open_.join(sure.select("pattern", F.col("kind").alias("k"), "confidence"), "pattern").filter(F.array_contains("kinds", F.col("k")))
+        alone = best.filter(F.col("pattern").startswith("W ")).join(doubtful, "instance", "left_anti")
+        best = best.filter(~F.col("pattern").startswith("W ")).unionByName(alone)
         # one kind for each instance: the most confident, then the first by name
         got = stored(best.groupBy("instance").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "k")).alias("x")).select("instance", F.col("x.k").alias("kind"), (-F.col("x.c")).alias("score")))
         if got.isEmpty():
             break
         new, accepted = new.unionByName(got), accepted.unionByName(got)
-    rank = F.element_at(F.create_map(*[F.lit(x) for k, name in enumerate(KINDS) for x in (name, k)]), F.col("kind"))
+    rank = F.element_at(F.create_map(*[F.lit(x) for k, name in enumerate(ALL_KINDS) for x in (name, k)]), F.col("kind"))
     hits = mention.filter("kind IS NULL").drop("kind").join(new.select("instance", "kind"), "instance")
     return hits.groupBy("row").agg(F.collect_list(F.struct("start", rank.cast("int").alias("rank"), "kind", "end")).alias("added"))
 
@@ -193,7 +224,7 @@ def discover(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN
 def with_spans(found: DataFrame, added: DataFrame) -> DataFrame:
     """`found` with all spans, in order, as `all_spans` and written out as `spans`."""
     none = F.expr("cast(array() AS array<struct<start:long,rank:int,kind:string,end:long>>)")
-    every = F.array_sort(F.concat("base", F.coalesce("added", none)))
+    every = F.array_sort(F.concat("seeds", F.coalesce("added", none)))
     df = found.drop("mentions").join(small_side(stored(added)), "row", "left").withColumn("all_spans", every)
     return df.withColumn("spans", F.array_join(F.transform("all_spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","))
 
