@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .joins import orphans
 
+#: Sizes, relations, columns without nulls and grains of the gold tables, names of personal columns, bounds.
 EXPECTED_COUNTS = {"dim_date": 1096, "dim_time": 1440, "dim_condition_category": 6, "dim_drug_class": 6, "dim_metric": 13}
 FOREIGN_KEYS = [("dim_condition", "condition_category_key", "dim_condition_category"), ("dim_medication", "drug_class_key", "dim_drug_class"), ("dim_device", "patient_key", "dim_patient"), ("fact_vital_reading", "patient_key", "dim_patient"), ("fact_vital_reading", "metric_key", "dim_metric"), ("fact_vital_daily_summary", "patient_key", "dim_patient"), ("fact_vital_daily_summary", "metric_key", "dim_metric"), ("fact_lab_result", "patient_key", "dim_patient"), ("fact_prescription_fill", "patient_key", "dim_patient"), ("fact_prescription_fill", "medication_key", "dim_medication"), ("fact_anomaly_alert", "patient_key", "dim_patient"), ("fact_anomaly_alert", "metric_key", "dim_metric")]
 NOT_NULL = {"dim_patient": ["patient_key", "age_group", "gender"], "dim_device": ["device_key", "device_id", "device_type"], "fact_vital_reading": ["reading_key", "patient_key", "metric_key", "date_key", "metric_value"], "fact_vital_daily_summary": ["patient_key", "metric_key", "date_key", "avg_value"], "fact_lab_result": ["patient_key", "date_key", "lab_test_name", "result_value"], "fact_prescription_fill": ["fill_key", "patient_key", "date_key"], "fact_anomaly_alert": ["alert_key", "patient_key", "metric_key", "alert_type", "severity"]}
@@ -132,8 +133,8 @@ def silver_profile(readings: DataFrame) -> DataFrame:
 
 
 def stream_health(spark: SparkSession, progress: list[dict], max_lag_s: float = 300, max_batch_s: float = 30) -> DataFrame:
-    """From a query's recentProgress: duration of each batch, and rows in against rows processed a second."""
-    rows = [(int(p["batchId"]), float(p.get("batchDuration", 0)) / 1000, float(p.get("numInputRows", 0)), float(p.get("processedRowsPerSecond") or 0)) for p in progress]
-    df = spark.createDataFrame(rows, "batch long, seconds double, rows double, rate double")
-    lag = F.try_divide(F.col("rows"), F.col("rate"))
-    return df.select("batch", "seconds", "rows", lag.alias("lag_s"), F.when((F.col("seconds") > max_batch_s) | (lag > max_lag_s), "warn").otherwise("ok").alias("status"))
+    """From a query's recentProgress: each batch's duration, rows, and lag, which is its start less its newest event; null without a watermark, which is what makes Spark report event times."""
+    rows = [(int(p["batchId"]), float(p.get("batchDuration", 0)) / 1000, float(p.get("numInputRows", 0)), p.get("timestamp"), (p.get("eventTime") or {}).get("max")) for p in progress]
+    df = spark.createDataFrame(rows, "batch long, seconds double, rows double, at string, newest string")
+    lag = F.unix_timestamp(F.try_to_timestamp("at")) - F.unix_timestamp(F.try_to_timestamp("newest"))
+    return df.select("batch", "seconds", "rows", lag.cast("double").alias("lag_s"), F.when((F.col("seconds") > max_batch_s) | (lag > max_lag_s), "warn").otherwise("ok").alias("status"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.keys import age_group, body_zone, date_key, device_model, person_key, surrogate_key
@@ -45,20 +48,47 @@ MEDICATIONS = [("metformin", "Metformin HCl", "Biguanides"), ("lisinopril", "Lis
 LAB_CONDITIONS = [("HbA1c", "E11.9"), ("LDL", "E78.5"), ("BP_systolic", "I10")]
 
 
+#: US holidays as month, first and last day they can fall on, and day of the week (1 is Sunday; None: any).
+HOLIDAYS = [(1, 1, 1, None), (5, 25, 31, 2), (7, 4, 4, None), (9, 1, 7, 2), (11, 22, 28, 5), (12, 25, 25, None)]
+#: Conditions that last, and classes of drugs whose patients are tested regularly.
+CHRONIC = ("E11.9", "I10", "J45.20", "E78.5", "K21.0")
+MONITORED = ("Biguanides", "ACE Inhibitors", "Statins")
+
+
 def dim_date(spark: SparkSession, start: str = "2024-01-01", days: int = 1096) -> DataFrame:
     """A row per day: calendar parts, weekend, flu and allergy season, six US holidays, medical fiscal quarter, epidemiological week."""
     df = spark.range(days).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date"))
     month, day, dow = F.month("date"), F.dayofmonth("date"), F.dayofweek("date")
-    fixed = ((month == 1) & (day == 1)) | ((month == 7) & (day == 4)) | ((month == 12) & (day == 25))
-    moving = ((month == 5) & (dow == 2) & (day >= 25)) | ((month == 9) & (dow == 2) & (day <= 7)) | ((month == 11) & (dow == 5) & day.between(22, 28))
+    holiday = reduce(Column.__or__, [(month == m) & day.between(a, b) & (F.lit(True) if d is None else dow == d) for m, a, b, d in HOLIDAYS])
     return df.select(
         "date", date_key("date").alias("date_key"), F.year("date").alias("year"), month.alias("month"), day.alias("day"), F.quarter("date").alias("quarter"), dow.alias("day_of_week"),
         F.date_format("date", "EEEE").alias("day_name"), F.date_format("date", "MMMM").alias("month_name"), F.weekofyear("date").alias("week_of_year"), dow.isin(1, 7).alias("is_weekend"),
-        month.isin(10, 11, 12, 1, 2, 3).alias("is_flu_season"), month.isin(3, 4, 5, 6).alias("is_allergy_season"), (fixed | moving).alias("is_holiday"),
+        month.isin(10, 11, 12, 1, 2, 3).alias("is_flu_season"), month.isin(3, 4, 5, 6).alias("is_allergy_season"), holiday.alias("is_holiday"),
         (F.floor(F.pmod(month - 10, F.lit(12)) / 3) + 1).cast("int").alias("fiscal_quarter_medical"), F.weekofyear("date").alias("cdc_epi_week"),
     )
 
 
+def with_daylight(days: DataFrame, latitude: float = 40.0, date: str = "date") -> DataFrame:
+    """daylight_hours by the sun's declination at a latitude, to a hundredth; 0 and 24 beyond the polar circles."""
+    declination = 0.409 * F.sin(2 * math.pi * F.dayofyear(date) / 365 - 1.39)
+    x = -math.tan(math.radians(latitude)) * F.tan(declination)
+    return days.withColumn("daylight_hours", F.round(24 / math.pi * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))) + 1e-9, 2))
+
+
+def with_critical_bounds(metrics: DataFrame, share: float = 0.1) -> DataFrame:
+    """critical_low and critical_high: beyond the normal bounds by a share of their distance."""
+    more = (F.col("normal_high") - F.col("normal_low")) * share
+    return metrics.withColumn("critical_low", F.col("normal_low") - more).withColumn("critical_high", F.col("normal_high") + more)
+
+
+def with_chronic(conditions: DataFrame) -> DataFrame:
+    return conditions.withColumn("is_chronic", F.col("condition_code").isin(*CHRONIC))
+
+
+def with_monitoring(drug_classes: DataFrame) -> DataFrame:
+    return drug_classes.withColumn("requires_monitoring", F.col("class_name").isin(*MONITORED))
+
+
 def dim_time(spark: SparkSession) -> DataFrame:
     df = spark.range(1440).select(F.floor(F.col("id") / 60).cast("int").alias("hour"), (F.col("id") % 60).cast("int").alias("minute"))
     h = F.col("hour")
@@ -72,7 +102,7 @@ def dim_condition_category(spark: SparkSession) -> DataFrame:
 
 
 def dim_condition(spark: SparkSession) -> DataFrame:
-    df = seed(spark, CONDITIONS, "condition_code string, condition_name string, category_name string").join(F.broadcast(dim_condition_category(spark)), "category_name", "left")
+    df = seed(spark, CONDITIONS, "condition_code string, condition_name string, category_name string").join(dim_condition_category(spark), "category_name", "left")
     return df.select(surrogate_key("condition_code").alias("condition_key"), "condition_code", "condition_name", "condition_category_key")
 
 
@@ -81,7 +111,7 @@ def dim_drug_class(spark: SparkSession) -> DataFrame:
 
 
 def dim_medication(spark: SparkSession) -> DataFrame:
-    df = seed(spark, MEDICATIONS, "medication_name string, generic_name string, class_name string").join(F.broadcast(dim_drug_class(spark)), "class_name", "left")
+    df = seed(spark, MEDICATIONS, "medication_name string, generic_name string, class_name string").join(dim_drug_class(spark), "class_name", "left")
     return df.select(surrogate_key("medication_name").alias("medication_key"), "medication_name", "generic_name", "drug_class_key")
 
 
@@ -92,7 +122,7 @@ def dim_metric(spark: SparkSession, rows: list[tuple] = METRICS) -> DataFrame:
 
 def primary_conditions(conditions: DataFrame, dim: DataFrame) -> DataFrame:
     """Each patient's active condition of the earliest onset; the lesser code on a tie."""
-    df = conditions.filter("status = 'active'").join(F.broadcast(dim.select("condition_key", F.col("condition_code").alias("icd10_code"))), "icd10_code")
+    df = conditions.filter("status = 'active'").join(dim.select("condition_key", F.col("condition_code").alias("icd10_code")), "icd10_code")
     return df.groupBy("patient_id").agg(F.min_by("condition_key", F.struct(F.coalesce("onset_date", F.lit("9999-12-31").cast("date")), "icd10_code")).alias("primary_condition_key"))
 
 

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.keys import date_key, date_key_of_string, drug_of_ndc, first_word, surrogate_key, time_key
 
+from pulsegrid.sources.tables import seed
+
 from .dims import LAB_CONDITIONS
 from .joins import overlap_join
-from .quality import flag_normal
+from .quality import flag_normal, quality_score
 from .windows import anomalies, keep_first, rolling_stats
 
 
@@ -20,14 +22,14 @@ def with_patient(readings: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def with_metric(readings: DataFrame, dim: DataFrame) -> DataFrame:
-    return readings.join(F.broadcast(dim), ["metric_name", "device_type"], "left")
+    return readings.join(dim, ["metric_name", "device_type"], "left")
 
 
 def fact_vital_reading(readings: DataFrame, bridge: DataFrame, metrics: DataFrame, devices: DataFrame, alerts: DataFrame | None = None) -> DataFrame:
-    """Valid readings with a known metric; with alerts, is_anomaly and anomaly_type are filled from them."""
-    df = with_metric(with_patient(readings.filter("is_valid"), bridge), metrics).filter("metric_key IS NOT NULL")
+    """Valid readings with a known metric, scored as silver has them, that is without duplicates; with alerts, is_anomaly and anomaly_type are filled from them."""
+    df = with_metric(with_patient(quality_score(readings.filter("is_valid").withColumn("is_duplicate", F.lit(False))), bridge), metrics).filter("metric_key IS NOT NULL")
     df = df.join(devices.select("device_id", "firmware_version", "device_key"), ["device_id", "firmware_version"], "left")
-    df = df.select(surrogate_key("reading_id", "metric_name").alias("reading_key"), "patient_key", "device_key", "metric_key", date_key("event_timestamp").alias("date_key"), time_key("event_timestamp").alias("time_key"), "metric_value", F.lit(1.0).alias("quality_score"))
+    df = df.select(surrogate_key("reading_id", "metric_name").alias("reading_key"), "patient_key", "device_key", "metric_key", date_key("event_timestamp").alias("date_key"), time_key("event_timestamp").alias("time_key"), "metric_value", "quality_score")
     if alerts is None:
         return df.withColumn("is_anomaly", F.lit(False)).withColumn("anomaly_type", F.lit(None).cast("string"))
     found = alerts.select(F.col("alert_key").alias("reading_key"), F.col("alert_type").alias("anomaly_type"))
@@ -46,9 +48,8 @@ def fact_vital_daily_summary(readings: DataFrame, bridge: DataFrame, metrics: Da
 def fact_lab_result(labs: DataFrame, bridge: DataFrame, conditions: DataFrame) -> DataFrame:
     """One row per patient, day and test: of several the latest batch's, then the largest value."""
     owner = bridge.filter("identifier_type = 'hospital_mrn'").select(F.col("identifier_value").alias("patient_id"), surrogate_key("patient_key").alias("_patient"))
-    spark = labs.sparkSession
-    tests = spark.createDataFrame(LAB_CONDITIONS, "test_code string, condition_code string").join(F.broadcast(conditions.select("condition_code", "condition_key")), "condition_code", "left").drop("condition_code")
-    df = labs.join(owner, "patient_id", "left").join(F.broadcast(tests), "test_code", "left").withColumn("patient_key", F.coalesce("_patient", surrogate_key("patient_id"))).withColumn("date_key", date_key("test_date"))
+    tests = seed(labs.sparkSession, LAB_CONDITIONS, "test_code string, condition_code string").join(conditions.select("condition_code", "condition_key"), "condition_code", "left").drop("condition_code")
+    df = labs.join(owner, "patient_id", "left").join(tests, "test_code", "left").withColumn("patient_key", F.coalesce("_patient", surrogate_key("patient_id"))).withColumn("date_key", date_key("test_date"))
     w = Window.partitionBy("patient_key", "date_key", "test_code").orderBy(F.col("batch_date").desc(), F.col("value").desc_nulls_last(), "observation_id")
     df = df.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
     return df.select("patient_key", "date_key", F.col("test_code").alias("lab_test_name"), F.col("value").alias("result_value"), F.col("unit").alias("result_unit"), F.col("reference_low").alias("reference_range_low"), F.col("reference_high").alias("reference_range_high"), "is_abnormal", "condition_key")
@@ -58,7 +59,7 @@ def fact_prescription_fill(fills: DataFrame, medications: DataFrame) -> DataFram
     """One row per rx_id. The medication is that of the drug name's first word, else that of the code's prefix."""
     med = medications.select("medication_key", F.lower("medication_name").alias("_name"))
     df = fills.withColumn("_word", first_word("drug_name")).withColumn("_drug", drug_of_ndc("ndc_code"))
-    df = df.join(F.broadcast(med.withColumnRenamed("_name", "_word").withColumnRenamed("medication_key", "_by_word")), "_word", "left").join(F.broadcast(med.withColumnRenamed("_name", "_drug").withColumnRenamed("medication_key", "_by_code")), "_drug", "left")
+    df = df.join(med.withColumnRenamed("_name", "_word").withColumnRenamed("medication_key", "_by_word"), "_word", "left").join(med.withColumnRenamed("_name", "_drug").withColumnRenamed("medication_key", "_by_code"), "_drug", "left")
     df = df.select(surrogate_key("rx_id").alias("fill_key"), surrogate_key("pharmacy_patient_id").alias("patient_key"), F.coalesce("_by_word", "_by_code").alias("medication_key"), date_key_of_string("fill_date").alias("date_key"), F.col("days_supply").cast("int").alias("days_supply"), F.col("refill_number").cast("int").alias("refill_number"), "status")
     return keep_first(df, ["fill_key"], "date_key", "refill_number", "status", "medication_key", "patient_key", "days_supply")
 
@@ -71,6 +72,6 @@ def fact_anomaly_alert(readings: DataFrame, bridge: DataFrame, metrics: DataFram
 
 
 def fact_activity_session(sessions: DataFrame, keys: list[str], rank: str, start: str = "start", end: str = "end", session_id: str = "session_id") -> DataFrame:
-    """Sessions of a patient from several sources: one that overlaps another of a better rank (the lesser number; then the lesser id) goes."""
+    """Sessions of a patient from several sources, times in seconds: one that overlaps another of a better rank (the lesser number; then the lesser id) goes."""
     better = overlap_join(sessions, sessions, keys, start, end).filter((F.col(f"{rank}_b") < F.col(rank)) | ((F.col(f"{rank}_b") == F.col(rank)) & (F.col(f"{session_id}_b") < F.col(session_id))))
     return sessions.join(better.select(session_id).distinct(), session_id, "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,15 +63,26 @@ def pharmacy_links(fills: DataFrame, prescriptions: DataFrame, days: int = 7) ->
     return proximity_join(fills, prescriptions, ["prescriber", "drug"], "date", days).select("pharmacy_patient_id", F.col("patient_id_b").alias("patient_id")).distinct()
 
 
-def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least: float = 0.6) -> DataFrame:
-    """Pairs of a block whose names' edit similarity is at least `least`; confidence runs from 0.6 to 0.9 with it."""
+def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least: float = 0.6, before: str | None = None) -> DataFrame:
+    """Pairs of a block whose names' edit similarity is at least `least`; confidence runs from 0.6 to 0.9 with it.
+
+    Names whose lengths differ by more than the similarity allows never meet: names stand in classes of length, each 1 / least
+    times as long as the one before, and only neighbouring classes are joined. With `before`, a column of both sides, a pair
+    of one table comes once, the side with the lesser value first.
+    """
     b = b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns])
-    on = F.col(f"{block[0]}") == F.col(f"{block[0]}_b")
-    for k in block[1:]:
-        on = on & (F.col(k) == F.col(f"{k}_b"))
     x, y = F.lower(F.trim(name)), F.lower(F.trim(f"{name}_b"))
-    similarity = 1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1))
-    return a.join(b, on).withColumn("similarity", similarity).filter(F.col("similarity") >= least).withColumn("confidence", 0.6 + 0.3 * (F.col("similarity") - least) / (1 - least))
+    size = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1))) / -math.log(least) + 1e-9)
+    a = a.withColumn("_k", size(x))
+    b = b.withColumn("_kb", F.explode(F.array(*[size(y) + i for i in (-1, 0, 1)])))
+    longer = F.greatest(F.length(x), F.length(y), F.lit(1))
+    on = (F.col("_k") == F.col("_kb")) & (F.abs(F.length(x) - F.length(y)) <= (1 - least) * longer + 1e-9)
+    for k in block:
+        on = on & (F.col(k) == F.col(f"{k}_b"))
+    if before:
+        on = on & (F.col(before) < F.col(f"{before}_b"))
+    similarity = 1 - F.levenshtein(x, y) / longer
+    return a.join(b, on).drop("_k", "_kb").withColumn("similarity", similarity).filter(F.col("similarity") >= least).withColumn("confidence", 0.6 + 0.3 * (F.col("similarity") - least) / (1 - least))
 
 
 #: Edges of which a task finds the parts at once.

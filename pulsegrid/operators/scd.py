@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import keep_latest
+from .windows import keep_latest, keep_one
 
 
 def _same(keys: list[str], a: str, b: str) -> Column:
@@ -15,7 +15,7 @@ def _same(keys: list[str], a: str, b: str) -> Column:
 
 
 def merge_scd1(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """Matched rows take the source's columns, others are added. With `order` the source's latest row of a key wins."""
+    """Matched rows take the source's columns, others are added. With `order` the source's latest row of a key wins, without it the source must have one row for each key."""
     if order:
         source = keep_latest(source, keys, *order)
     rest = target.join(source.select(*keys).distinct(), keys, "left_anti")
@@ -23,9 +23,9 @@ def merge_scd1(target: DataFrame, source: DataFrame, keys: list[str], order: lis
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows with a new key are added, one for each key."""
+    """Source rows with a new key are added, one for each key: of several the one that sorts first by all columns."""
     new = source.join(target.select(*keys), keys, "left_anti").select(*target.columns)
-    return target.unionByName(new.dropDuplicates(keys))
+    return target.unionByName(keep_one(new, keys, *[F.col(c).asc_nulls_last() for c in target.columns]))
 
 
 def merge_columns(target: DataFrame, source: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
@@ -84,3 +84,15 @@ def erase(df: DataFrame, people: DataFrame, key: str, columns: list[str]) -> Dat
     hit = people.select(F.col(key).alias("_gone")).distinct()
     out = df.join(hit, F.col(key) == F.col("_gone"), "left")
     return out.select(*[F.when(F.col("_gone").isNull(), F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def erasure_sweep(tables: dict[str, DataFrame], people: DataFrame, key: str, columns: dict[str, list[str]]) -> DataFrame:
+    """(check, object, value, status): what each personal column of each table still has of the listed people."""
+    gone = people.select(F.col(key).alias("_gone")).distinct()
+    parts = []
+    for name, cols in columns.items():
+        left = tables[name].join(gone, F.col(key) == F.col("_gone"), "left_semi").agg(*[F.count(c).alias(c) for c in cols])
+        rows = F.explode(F.array(*[F.struct(F.lit(f"{name}.{c}").alias("object"), F.col(c).alias("n")) for c in cols]))
+        parts.append(left.select(rows.alias("x")))
+    n = F.col("x.n")
+    return reduce(DataFrame.unionByName, parts).select(F.lit("erasure").alias("check"), "x.object", n.cast("double").alias("value"), F.when(n == 0, "ok").otherwise("fail").alias("status"))

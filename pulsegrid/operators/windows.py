@@ -25,6 +25,16 @@ def top_k(df: DataFrame, keys: list[str], k: int, *order: Column) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= k)
 
 
+def most_first(df: DataFrame, *by: str) -> DataFrame:
+    """df in falling order of the first column, then in rising order of the others."""
+    return df.orderBy(F.col(by[0]).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in by[1:]])
+
+
+def newest(df: DataFrame, rows: int, *order: str) -> DataFrame:
+    """The rows that come last in the order; each task keeps so many at most."""
+    return df.orderBy(*[F.col(c).desc_nulls_last() for c in order]).limit(rows)
+
+
 def rolling_stats(df: DataFrame, keys: list[str], ts: str = "event_timestamp", value: str = "metric_value", days: int = 30) -> DataFrame:
     """Mean and sample deviation over the trailing days, the row itself and its peers of the same second included.
 

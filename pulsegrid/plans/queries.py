@@ -54,7 +54,7 @@ READINGS = f"""
 ev AS (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, {DEVICE} AS device_type FROM events),
 s AS (SELECT event_id, user_id, CAST(event_id AS VARCHAR) AS reading_id, {case('device_type', A.PREFIX_OF, 'XX')} || '-' || user_id AS device_id, device_type, 'acct_' || user_id AS device_account_id,
         'v' || (k % 4) AS firmware_version, CAST(event_id % 101 AS INTEGER) AS battery_pct, ts AS event_timestamp, CAST(floor(epoch(ts)) AS BIGINT) AS event_s,
-        CASE WHEN event_id % 10 < 3 THEN (event_id * 37) % 28800 ELSE 0 END AS lag_s, event_type AS metric_name,
+        CASE WHEN event_id % 211 = 0 THEN 200000 WHEN event_id % 10 < 3 THEN (event_id * 37) % 28800 ELSE 0 END AS lag_s, event_type AS metric_name,
         CASE WHEN event_id % 100 = 0 OR event_id % 97 = 0 THEN NULL ELSE value END AS metric_value FROM ev),
 r AS (SELECT *, coalesce(metric_value BETWEEN 0 AND 150, FALSE) AS is_valid, lag_s > 7200 AS is_late_arriving,
         {key("CASE WHEN user_id % 5 <> 0 THEN sha256('u' || user_id || '@example.com') ELSE device_account_id END")} AS patient_key,
@@ -120,9 +120,9 @@ def b3_explode_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return df.groupBy("metric_name").agg(F.count("*").alias("n"), F.count("metric_value").alias("n_values"), F.count(F.when(F.col("metric_text").isNotNull() & F.col("metric_value").isNull(), 1)).alias("n_text"), r4(F.sum("metric_value")).alias("total"))
 
 
-@query(f"WITH {READINGS} SELECT reading_id, metric_value, is_valid, is_late_arriving, lag_s > 28000 AS is_very_late FROM r")
+@query(f"WITH {READINGS} SELECT reading_id, metric_value, is_valid, is_late_arriving, lag_s > 172800 AS is_very_late FROM r")
 def b7_quality_flags(spark: SparkSession, sf: str) -> DataFrame:
-    df = quality.flag_late(A.readings(spark, sf), seconds=28000, name="is_very_late")
+    df = quality.flag_late(A.readings(spark, sf), seconds=quality.VERY_LATE_SECONDS, name="is_very_late")
     return df.select("reading_id", "metric_value", "is_valid", "is_late_arriving", "is_very_late")
 
 
@@ -411,7 +411,7 @@ def l6_pharmacy_links_all(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT a.p_partkey, b.p_partkey AS p_partkey_b, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) + 1e-9, 4) AS similarity FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) >= 0.6")
 def l7_fuzzy_links(spark: SparkSession, sf: str) -> DataFrame:
     p = A.load(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    return identity.fuzzy_links(p, p, ["p_brand", "p_size"], "p_name").filter("p_partkey < p_partkey_b").select("p_partkey", "p_partkey_b", r4("similarity").alias("similarity"))
+    return identity.fuzzy_links(p, p, ["p_brand", "p_size"], "p_name", before="p_partkey").select("p_partkey", "p_partkey_b", r4("similarity").alias("similarity"))
 
 
 @query("""WITH RECURSIVE ed AS (SELECT DISTINCT 'o' || l_orderkey AS x, 's' || l_suppkey || '-' || (l_partkey % 400) AS y FROM lineitem), e AS (SELECT x AS a, y AS b FROM ed UNION ALL SELECT y, x FROM ed),
@@ -471,10 +471,10 @@ def m9_dim_device(spark: SparkSession, sf: str) -> DataFrame:
 # facts
 
 
-@query(f"WITH {READINGS}, {STATS} SELECT r.reading_key, r.patient_key, r.device_key, r.metric_key, r.date_key, r.time_key, r.metric_value, al.z IS NOT NULL AS is_anomaly, CASE WHEN al.z IS NOT NULL THEN {ALERT_TYPE} END AS anomaly_type FROM r LEFT JOIN (SELECT reading_key, z FROM al) al USING (reading_key) WHERE r.is_valid")
+@query(f"WITH {READINGS}, {STATS} SELECT r.reading_key, r.patient_key, r.device_key, r.metric_key, r.date_key, r.time_key, r.metric_value, CAST(CASE WHEN r.is_late_arriving THEN 0.75 ELSE 1.0 END AS DOUBLE) AS quality_score, al.z IS NOT NULL AS is_anomaly, CASE WHEN al.z IS NOT NULL THEN {ALERT_TYPE} END AS anomaly_type FROM r LEFT JOIN (SELECT reading_key, z FROM al) al USING (reading_key) WHERE r.is_valid")
 def n1_vital_readings(spark: SparkSession, sf: str) -> DataFrame:
-    w = Warehouse(spark, sf)
-    return facts.fact_vital_reading(w.readings, w.bridge, w.dim_metric, w.dim_device, w.fact_anomaly_alert).drop("quality_score")
+    w = Warehouse(spark, sf, stored=True)
+    return facts.fact_vital_reading(w.readings, w.bridge, w.dim_metric, w.dim_device, w.fact_anomaly_alert)
 
 
 LAB_FACT = f"""
@@ -524,7 +524,7 @@ def v4_lab_results_by_condition(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {PEOPLE}, {PATIENT}, {READINGS}, {DAILY} SELECT age_group, metric_name, date_key, count(DISTINCT d.patient_key) AS patient_count, round(avg(avg_value) + 1e-9, 2) AS cohort_avg, round(min(min_value), 2) AS cohort_min, round(max(max_value), 2) AS cohort_max, CAST(sum(reading_count) AS BIGINT) AS total_readings, CAST(sum(anomaly_count) AS BIGINT) AS total_anomalies, round(avg(pct) + 1e-9, 1) AS avg_pct_in_normal_range FROM d JOIN po ON d.patient_key = po.patient_key GROUP BY 1, 2, 3")
 def v5_population_analytics(spark: SparkSession, sf: str) -> DataFrame:
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, stored=True)
     return view(spark, "population_analytics", w.tables("fact_vital_daily_summary", "dim_metric", "dim_patient")).drop("gender", "unit", "normal_low", "normal_high", "reading_date")
 
 
@@ -660,17 +660,14 @@ def i2_drain_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {READINGS} SELECT reading_id, metric_value, is_valid, is_late_arriving FROM r")
 def i4_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a stream, upserted to silver batch by batch; the first arrival wins over batches too."""
+    """Events as a stream of several files, upserted to silver batch by batch; the first arrival wins over batches too."""
     out = T.shared_folder(spark)
-    table = ingest.Versioned(spark, f"{out}/silver")
-    keys = ["reading_id", "metric_name"]
-
-    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        return new if old is None else windows.keep_first(old.unionByName(new), keys, "sync_timestamp", "ingestion_timestamp")
-
-    q = ingest.upsert_stream(T.to_bronze(A.event_messages(_stream(spark, sf)), F.col("timestamp")), A.to_silver, table, keys, merge, f"{out}/checkpoint")
-    q.awaitTermination()
-    return table.read().select("reading_id", "metric_value", "is_valid", "is_late_arriving")
+    events = A.load(spark, sf, "events")
+    events.repartition(4).write.parquet(f"{out}/in")
+    stream = ingest.file_source(spark, f"{out}/in", events.schema, files_per_batch=2)
+    ingest.upsert_stream(T.to_bronze(A.event_messages(stream), F.col("timestamp")), A.to_silver, f"{out}/silver", f"{out}/checkpoint").awaitTermination()
+    silver = ingest.first_arrivals(spark, f"{out}/silver", ["reading_id", "metric_name"], "sync_timestamp", "ingestion_timestamp")
+    return silver.select("reading_id", "metric_value", "is_valid", "is_late_arriving")
 
 
 def _change_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -760,3 +757,6 @@ def a15_replay(spark: SparkSession, sf: str) -> DataFrame:
     li = A.load(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_quantity", F.date_format("l_shipdate", "yyyy").alias("ingestion_date"))
     T.overwrite(T.compact(li, 4, ["day"]), f"{out}/bronze", ["ingestion_date"])
     return T.replay(spark, f"{out}/bronze", "2000", lambda df: df.groupBy("day").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")))
+
+
+from . import further  # noqa: E402, F401 - adds its queries

@@ -8,20 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.operators import dims, facts
 from pulsegrid.sources import adapter
-from pulsegrid.sources.tables import overwrite
+from pulsegrid.sources.tables import overwrite, shared_folder
 
 AS_OF_YEAR = 2024
 
 
 class Warehouse:
-    """The gold tables as lazy DataFrames; each is built from the sources it needs, once."""
+    """The gold tables as lazy DataFrames; each is built from the sources it needs, once.
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+    With `stored`, silver is written to the shared folder first, for results that use it more than once: bronze is parsed
+    once, and each use reads only its columns.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = False) -> None:
+        self.spark, self.sf_dir, self.stored = spark, sf_dir, stored
 
     @cached_property
     def readings(self) -> DataFrame:
-        return adapter.readings(self.spark, self.sf_dir)
+        df = adapter.readings(self.spark, self.sf_dir)
+        if not self.stored:
+            return df
+        path = shared_folder(self.spark)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def bridge(self) -> DataFrame:

@@ -25,10 +25,10 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_messages(events: DataFrame) -> DataFrame:
-    """Sensor messages as a broker gives them: 30 % late, some values null or no number, 2 % sent twice; works on streams."""
+    """Sensor messages as a broker gives them: 30 % late, some by more than two days, some values null or no number, 2 % sent twice; works on streams."""
     e = events.withColumn("ts", F.col("ts").cast("timestamp"))
     device = mapped(F.col("event_type"), DEVICE_OF, "smartwatch")
-    late = F.when(F.col("event_id") % 10 < 3, F.col("event_id") * 37 % 28800).otherwise(0)
+    late = F.when(F.col("event_id") % 211 == 0, 200000).when(F.col("event_id") % 10 < 3, F.col("event_id") * 37 % 28800).otherwise(0)
     e = e.withColumn("again", F.explode(F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(3600))).otherwise(F.array(F.lit(0)))))
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     value = F.when(F.col("event_id") % 100 == 0, F.lit(None)).when(F.col("event_id") % 97 == 0, F.lit("deep")).otherwise(F.col("value").cast("string"))

@@ -34,9 +34,9 @@ def to_bronze(df: DataFrame, ingested: Column | None = None) -> DataFrame:
     return out.withColumn("ingestion_date", F.date_format("ingestion_timestamp", "yyyy-MM-dd")).withColumn("ingestion_hour", F.date_format("ingestion_timestamp", "HH"))
 
 
-def read_ehr(spark: SparkSession, glob: str) -> DataFrame:
-    """A row per patient of every <date>/ehr_batch.json that the pattern names; batch_date comes from the path, else from the file."""
-    raw = spark.read.schema(EHR_SCHEMA).option("multiLine", True).json(glob).withColumn("of_path", F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2}-\d{2})", 1))
+def read_ehr(spark: SparkSession, glob: str, multi_line: bool = True) -> DataFrame:
+    """A row per patient of every <date>/ehr_batch.json that the pattern names, a batch in a file or, without multi_line, in each line; batch_date comes from the path, else from the file."""
+    raw = spark.read.schema(EHR_SCHEMA).option("multiLine", multi_line).json(glob).withColumn("of_path", F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2}-\d{2})", 1))
     return raw.select(F.coalesce(F.nullif(F.col("of_path"), F.lit("")), F.col("batch_date")).alias("batch_date"), F.explode("patients").alias("p")).select("batch_date", "p.*")
 
 
@@ -55,6 +55,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def parse_topic(bronze: DataFrame, topic: str, schema: str) -> DataFrame:
+    """The messages of one topic, JSON objects of the schema, with their ingestion time; malformed ones give nulls."""
+    return bronze.filter(F.col("kafka_topic") == topic).select(F.from_json("raw_value", schema).alias("m"), "ingestion_timestamp").select("m.*", "ingestion_timestamp")
+
+
+#: The messages of the activity and registry topics.
+ACTIVITY = "session_id string, device_account_id string, activity string, source string, start timestamp, minutes double"
+REGISTRY = "device_account_id string, device_id string, email string, registered timestamp"
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
@@ -73,7 +83,10 @@ def or_empty(df: DataFrame | None, spark: SparkSession, schema: StructType | str
 
 
 def seed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """A few literal rows as part of the plan, so that the optimizer knows their size."""
+    fields = [x.strip().split(" ", 1) for x in schema.split(",")]
+    each = F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields, strict=True)]) for row in rows])
+    return spark.range(1).select(F.inline(each))
 
 
 def export_jdbc(tables: dict[str, DataFrame], url: str, properties: dict[str, str] | None = None, only: Iterable[str] | None = None, partitions: dict[str, tuple[int, str]] | None = None) -> dict[str, str]:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-from pulsegrid.operators.scd import merge_scd1
+from pulsegrid.operators.windows import keep_first, keep_latest
 from pulsegrid.sources.tables import to_bronze
 
 
@@ -37,70 +35,75 @@ def bronze_stream(messages: DataFrame, path: str, checkpoint: str, every: str |
     return append_stream(to_bronze(messages), path, checkpoint, every)
 
 
-class Versioned:
-    """A table as a folder of whole versions; the newest is the one that the pointer file names last."""
+def upsert_stream(df: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Each micro-batch is transformed and written as its own partition; a batch that is run again replaces its own rows. Nothing that was there is rewritten: `first_arrivals` and `last_arrivals` merge on reading."""
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
-
-    def pointer(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("batch long, version string").json(f"{self.path}/_versions")
-        except AnalysisException:
-            return None
-
-    def newest(self) -> tuple[int, str] | None:
-        p = self.pointer()
-        rows = p.orderBy("batch", ascending=False).limit(1).collect() if p is not None else []
-        return (rows[0]["batch"], rows[0]["version"]) if rows else None
-
-    def read(self) -> DataFrame | None:
-        last = self.newest()
-        return self.spark.read.parquet(f"{self.path}/{last[1]}") if last else None
+    def step(batch: DataFrame, number: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    def replace(self, df: DataFrame, batch: int) -> None:
-        version = uuid.uuid4().hex
-        df.write.parquet(f"{self.path}/{version}")
-        self.spark.createDataFrame([(batch, version)], "batch long, version string").coalesce(1).write.mode("append").json(f"{self.path}/_versions")
+    w = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
 
 
-def upsert_stream(df: DataFrame, transform: Callable[[DataFrame], DataFrame], table: Versioned, keys: list[str], merge: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None, checkpoint: str = "", every: str | None = None) -> StreamingQuery:
-    """Each micro-batch is transformed and merged into the table; a batch that is run again is recognised by its number and skipped."""
+def first_arrivals(spark: SparkSession, path: str, keys: list[str], *order: str) -> DataFrame:
+    """The table that `upsert_stream` wrote, the first row of each key in the order, then of the earliest batch."""
+    return keep_first(spark.read.parquet(path), keys, *order, "batch")
 
-    def step(batch: DataFrame, number: int) -> None:
-        last = table.newest()
-        if last and last[0] >= number:
-            return
-        new, old = transform(batch), table.read()
-        table.replace(merge(old, new) if merge else (new if old is None else merge_scd1(old, new, keys)), number)
 
-    w = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
+def last_arrivals(spark: SparkSession, path: str, keys: list[str], *order: str) -> DataFrame:
+    """The same with the last row of each key, of the latest batch first."""
+    return keep_latest(spark.read.parquet(path), keys, "batch", *order)
 
 
 class Baseline(StatefulProcessor):
-    """Count, mean and squared deviations of each key; a reading beyond sigma deviations of those before it is an alert. Idle keys expire."""
+    """Statistics of each key by day, of the trailing `days` days; a reading beyond sigma deviations of those before it is an alert.
 
-    def __init__(self, sigma: float = 2.0, least: int = 5, ttl_ms: int = 90 * 86400 * 1000) -> None:
-        self.sigma, self.least, self.ttl_ms = sigma, least, ttl_ms
+    The buffer has a row of count, mean and squared deviations for each day, so it is bounded whatever a day's readings are.
+    Days that fall out are removed, idle keys expire. Readings of a batch are taken in the order of their time; one from
+    before the newest day counts for its own day, if that is still in the buffer, and is judged as of the newest one.
+    """
+
+    def __init__(self, sigma: float = 2.0, least: int = 5, days: int = 30, ttl_ms: int = 90 * 86400 * 1000) -> None:
+        self.sigma, self.least, self.days, self.ttl_ms = sigma, least, days, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("stats", "n long, mean double, m2 double", self.ttl_ms)
+        self.state = handle.getMapState("days", "day long", "n long, mean double, m2 double", self.ttl_ms)
+
+    @staticmethod
+    def _merged(parts: Iterable[tuple]) -> tuple[int, float, float]:
+        n, mean, m2 = 0, 0.0, 0.0
+        for k, m, s in parts:
+            if k:
+                d = m - mean
+                n, mean, m2 = n + k, mean + d * k / (n + k), m2 + s + d * d * n * k / (n + k)
+        return n, mean, m2
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        n, mean, m2 = self.state.get() if self.state.exists() else (0, 0.0, 0.0)
-        out = []
+        held = {k[0]: tuple(v) for k, v in self.state.iterator()} if self.state.exists() else {}
+        old, changed, out = set(held), set(), []
+        newest, rest = max(held, default=None), None
         frame = pd.concat(list(rows)).sort_values(["event_s", "seq"], kind="stable")
         for r in frame.itertuples():
+            day = int(r.event_s) // 86400
+            if newest is None or day > newest:
+                newest, rest = day, None
+            if rest is None:
+                held = {k: v for k, v in held.items() if k > newest - self.days}
+                rest = self._merged(v for k, v in held.items() if k != newest)
+            n, mean, m2 = self._merged((rest, held.get(newest, (0, 0.0, 0.0))))
             if n >= self.least:
                 std = (m2 / (n - 1)) ** 0.5
                 if std > 0 and abs(r.value - mean) > self.sigma * std:
                     out.append((*key, r.seq, r.value, mean, std))
-            n += 1
-            d = r.value - mean
-            mean += d / n
-            m2 += d * (r.value - mean)
-        self.state.update((n, mean, m2))
+            if day > newest - self.days:
+                held[day] = self._merged((held.get(day, (0, 0.0, 0.0)), (1, r.value, 0.0)))
+                changed.add(day)
+                if day != newest:
+                    rest = None
+        for day in old - set(held):
+            self.state.removeKey((day,))
+        for day in changed & set(held):
+            self.state.updateValue((day,), held[day])
         yield pd.DataFrame(out, columns=["account", "metric", "seq", "value", "mean", "std"])
 
     def close(self) -> None:
@@ -111,10 +114,10 @@ ALERTS = "account string, metric string, seq long, value double, mean double, st
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def baseline_alerts(readings: DataFrame, sigma: float = 2.0, least: int = 5) -> DataFrame:
+def baseline_alerts(readings: DataFrame, sigma: float = 2.0, least: int = 5, days: int = 30) -> DataFrame:
     """Streaming alerts of readings (account, metric, seq, event_s, value). Needs the RocksDB state store."""
     readings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
-    return readings.groupBy("account", "metric").transformWithStateInPandas(Baseline(sigma, least), ALERTS, "Append", "ProcessingTime")
+    return readings.groupBy("account", "metric").transformWithStateInPandas(Baseline(sigma, least, days), ALERTS, "Append", "ProcessingTime")
 
 
 #: Whether a stream runs batches without new rows; where processing time counts, each of these calls for the next one.

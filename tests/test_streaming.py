@@ -24,23 +24,63 @@ def test_drain_is_exactly_once(spark, folder):
         q.awaitTermination()
     got = spark.read.parquet(f"{folder}/bronze")
     assert got.count() == adapter.bronze(events).count() and set(T.BRONZE_COLUMNS) == set(got.columns)
-    report = checks.stream_health(spark, [{"batchId": 0, "batchDuration": 31000, "numInputRows": 5, "processedRowsPerSecond": 1}])
-    assert report.first().status == "warn"
+    report = checks.stream_health(spark, [{"batchId": 0, "batchDuration": 31000, "numInputRows": 5}, {"batchId": 1, "batchDuration": 10, "numInputRows": 5, "timestamp": "2024-01-01T00:10:00.000Z", "eventTime": {"max": "2024-01-01T00:00:00.000Z"}}])
+    assert [(r.status, r.lag_s) for r in report.orderBy("batch").collect()] == [("warn", None), ("warn", 600.0)]
 
 
 def test_stream_upsert_equals_batch(spark, folder):
     events, stream = split_events(spark, folder)
-    keys = ["reading_id", "metric_name"]
-    table = ingest.Versioned(spark, f"{folder}/silver")
+    for _ in range(2):  # a second run finds nothing new
+        ingest.upsert_stream(T.to_bronze(adapter.event_messages(stream), F.col("timestamp")), adapter.to_silver, f"{folder}/silver", f"{folder}/cp").awaitTermination()
+    assert {r.batch for r in spark.read.parquet(f"{folder}/silver").select("batch").distinct().collect()} == {0, 1, 2}
+    got = ingest.first_arrivals(spark, f"{folder}/silver", ["reading_id", "metric_name"], "sync_timestamp", "ingestion_timestamp").drop("batch")
+    batch = adapter.to_silver(adapter.bronze(events)).select(got.columns)
+    assert got.exceptAll(batch).isEmpty() and got.count() == batch.count()
+
+
+def test_a_batch_later_than_two_days_is_flagged_and_kept(spark, folder):
+    from pulsegrid.operators import quality
+
+    rows = [("a", "m", 1.0, "2024-01-01 00:00:00", "2024-01-01 00:10:00"), ("a", "m", 1.0, "2024-01-01 00:00:00", "2024-01-04 00:00:00"), ("b", "m", 2.0, "2024-01-01 00:00:00", "2024-01-03 00:00:01")]
+    for k, part in enumerate((rows[1:2], rows[2:], rows[:1])):  # the late copy comes first
+        spark.createDataFrame(part, "k string, m string, v double, e string, s string").selectExpr("k", "m", "v", "timestamp(e) AS event_timestamp", "timestamp(s) AS sync_timestamp").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    s = ingest.file_source(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, 1)
+    flag = lambda df: quality.flag_late(df, seconds=quality.VERY_LATE_SECONDS, name="very_late")
+    ingest.upsert_stream(s, flag, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    first = ingest.first_arrivals(spark, f"{folder}/out", ["k", "m"], "sync_timestamp")
+    assert sorted((r.k, r.very_late) for r in first.collect()) == [("a", False), ("b", True)]
+    assert sorted((r.k, r.very_late) for r in ingest.last_arrivals(spark, f"{folder}/out", ["k", "m"]).collect()) == [("a", False), ("b", True)]
+
+
+def test_buffer_forgets_after_its_days():
+    import pandas as pd
+
+    class State:
+        def __init__(self):
+            self.d = {}
+
+        def exists(self):
+            return bool(self.d)
+
+        def iterator(self):
+            return iter(list(self.d.items()))
+
+        def updateValue(self, k, v):
+            self.d[k] = v
+
+        def removeKey(self, k):
+            del self.d[k]
 
-    def merge(old, new):
-        return new if old is None else windows.keep_first(old.unionByName(new), keys, "sync_timestamp", "ingestion_timestamp")
+    def feed(b, values):
+        f = pd.DataFrame([(k * 86400, k, v) for k, v in values], columns=["event_s", "seq", "value"])
+        return [r.seq for out in b.handleInputRows(("a", "m"), iter([f]), None) for r in out.itertuples()]
 
-    q = ingest.upsert_stream(T.to_bronze(adapter.event_messages(stream), F.col("timestamp")), adapter.to_silver, table, keys, merge, f"{folder}/cp")
-    q.awaitTermination()
-    batch = adapter.to_silver(adapter.bronze(events))
-    assert table.newest()[0] == 2
-    assert table.read().exceptAll(batch.select(table.read().columns)).isEmpty() and table.read().count() == batch.count()
+    b = ingest.Baseline(least=3, days=30)
+    b.state = State()
+    assert feed(b, [(k, 10.0 + k % 2) for k in range(10)]) == []
+    assert feed(b, [(12, 50.0)]) == [12]
+    assert feed(b, [(50, 50.0)]) == [] and set(b.state.d) == {(50,)}  # nothing of the days before is left to judge by
+    assert feed(b, [(45, 50.0), (10, 50.0)]) == [] and set(b.state.d) == {(50,), (45,)}
 
 
 def test_stateful_baseline_equals_running_statistics(spark, folder):
