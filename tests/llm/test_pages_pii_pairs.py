@@ -411,3 +411,37 @@ def test_contamination_query_equals_duckdb(spark):
     for t in ("documents", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert rows(QUERIES["op10_decontamination"](spark, SF)) == sorted(c.execute(ORACLE_SQL["op10_decontamination"]).fetchall(), key=str)
+
+
+def test_dropping_does_not_depend_on_the_layout(spark):
+    texts = [*copies(), "same text of six words here", "same text of six words here", None]
+    df = spark.createDataFrame([(k // 2, t, k) for k, t in enumerate(texts)], "doc_id long, text string, n int")
+    kept = lambda d: sorted(tuple(r) for r in jaccard_join.drop_near_duplicates(d).select("doc_id", F.coalesce("text", F.lit("-")), "n").collect())
+    assert kept(df.coalesce(1)) == kept(df.repartition(7, "n")) == kept(df.orderBy(F.desc("n")))
+
+
+def test_long_near_copies_make_small_tiles(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(jaccard_join, "TILE_TOKENS", 5000)
+    r = random.Random(1)
+    base = [f"w{r.randrange(10**6)}" for _ in range(3000)]
+    texts = []
+    for _ in range(14):
+        w = list(base)
+        for _ in range(r.randint(1, 40)):
+            w[r.randrange(len(w))] = "x"
+        texts.append(" ".join(w))
+    links = brute_links(texts)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == sorted((k, c, len(n)) for k, (c, n) in enumerate(zip(brute_classes(list(range(14)), links), links, strict=True)))
+
+
+def test_recall_just_above_the_threshold(spark):
+    """1,000 pairs of similarity 89 / 111, compared with nothing else: with the default parameters none is lost."""
+    texts = []
+    for k in range(1000):
+        common = [f"c{k}x{j}" for j in range(93)]
+        texts += [" ".join([*common, *(f"{side}{k}x{j}" for j in range(11))]) for side in "ab"]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), DOCS))
+    assert got.filter("n_links = 1 AND class_id = doc_id - doc_id % 2").count() == 2000
