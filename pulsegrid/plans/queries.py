@@ -395,19 +395,17 @@ def k4_bridge_merge(spark: SparkSession, sf: str) -> DataFrame:
     return identity.merge_bridge(old, new).select("identifier_value", "link_status", day("first_seen"), day("last_seen"))
 
 
-@query("SELECT DISTINCT 'PH' || a.o_orderkey AS pharmacy_patient_id, 'MRN' || b.o_custkey AS patient_id FROM (SELECT * FROM orders WHERE o_orderkey % 20 = 0) a JOIN orders b ON a.o_custkey % 50 = b.o_custkey % 50 AND a.o_orderpriority = b.o_orderpriority AND abs(date_diff('day', CAST(a.o_orderdate AS DATE), CAST(b.o_orderdate AS DATE))) <= 7")
-def l6_pharmacy_links(spark: SparkSession, sf: str) -> DataFrame:
-    o = A.load(spark, sf, "orders").select(F.concat(F.lit("PH"), F.col("o_orderkey")).alias("pharmacy_patient_id"), F.concat(F.lit("MRN"), F.col("o_custkey")).alias("patient_id"), (F.col("o_custkey") % 50).alias("prescriber"), F.col("o_orderpriority").alias("drug"), F.to_date("o_orderdate").alias("date"), "o_orderkey")
-    return identity.pharmacy_links(o.filter("o_orderkey % 20 = 0").drop("patient_id"), o.drop("pharmacy_patient_id"))
-
-
 @query("SELECT DISTINCT 'PH' || a.o_orderkey AS pharmacy_patient_id, 'MRN' || b.o_custkey AS patient_id FROM orders a JOIN orders b ON a.o_custkey % 50 = b.o_custkey % 50 AND a.o_orderpriority = b.o_orderpriority AND abs(date_diff('day', CAST(a.o_orderdate AS DATE), CAST(b.o_orderdate AS DATE))) <= 7")
-def l6_pharmacy_links_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Every order is a fill; l6_pharmacy_links has those of every twentieth only."""
+def l6_pharmacy_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order is a fill."""
     o = A.load(spark, sf, "orders").select(F.concat(F.lit("PH"), F.col("o_orderkey")).alias("pharmacy_patient_id"), F.concat(F.lit("MRN"), F.col("o_custkey")).alias("patient_id"), (F.col("o_custkey") % 50).alias("prescriber"), F.col("o_orderpriority").alias("drug"), F.to_date("o_orderdate").alias("date"))
     return identity.pharmacy_links(o.drop("patient_id"), o.drop("pharmacy_patient_id"))
 
 
+#: The name that the query had while l6_pharmacy_links took every twentieth order only.
+QUERIES["l6_pharmacy_links_all"], ORACLE_SQL["l6_pharmacy_links_all"] = l6_pharmacy_links, ORACLE_SQL["l6_pharmacy_links"]
+
+
 @query("SELECT a.p_partkey, b.p_partkey AS p_partkey_b, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) + 1e-9, 4) AS similarity FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) >= 0.6")
 def l7_fuzzy_links(spark: SparkSession, sf: str) -> DataFrame:
     p = A.load(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
