@@ -377,3 +377,20 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     row = F.struct(*(F.col(f"d.`{c}`") for c in docs.columns))
     one = keyed.join(again, same("d", "g"), "left_semi").groupBy(*key).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
     return single.unionByName(one)
+
+
+#: near_duplicates over the table documents, by whole shingle sets and every pair of them that shares a shingle.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT DISTINCT id, array_to_string(w[i + 1 : i + 5], ' ') AS t FROM (SELECT id, w, unnest(range(greatest(len(w) - 5, 0) + 1)) AS i FROM w WHERE len(w) > 0)),
+s AS (SELECT id, list(t ORDER BY t) AS s FROM x GROUP BY id),
+g AS (SELECT min(id) AS g, min(doc_id) AS least_id, count(*) AS copies, len(s) AS n, list(id) AS ids FROM s JOIN w USING (id) GROUP BY s),
+t AS (SELECT t, list(struct_pack(g, n)) AS own FROM x JOIN g ON id = g GROUP BY t HAVING count(*) > 1),
+e AS (SELECT a.g AS a, b.g AS b FROM (SELECT own, unnest(own) AS a FROM t), unnest(own) AS u(b)
+      WHERE a.g <> b.g AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY a.g, b.g, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n)),
+r(a, b) AS (SELECT g, g FROM g UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT r.a AS g, min(least_id) AS class_id FROM r JOIN g ON g.g = r.b GROUP BY r.a),
+k AS (SELECT e.a AS g, sum(copies) AS others FROM e JOIN g ON g.g = e.b GROUP BY e.a),
+m AS (SELECT unnest(ids) AS id, class_id, copies - 1 + coalesce(others, 0) AS n_links FROM g JOIN c USING (g) LEFT JOIN k USING (g))
+SELECT doc_id, CASE WHEN m.id IS NULL THEN doc_id ELSE class_id END AS class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links FROM w LEFT JOIN m USING (id)
+"""

@@ -6,12 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, jaccard_join, language_id, quality_knn, quality_rules
+from . import decontaminate, html_extract, jaccard_join, language_id, quality_knn, quality_rules, warc
 from .common import held_out, table
 from .packing import Capacity, pack, pieces
 from .pii import personal_data
 from .token_counts import section_token_counts
-from .warc import round_trip
 
 
 def vocabulary(name: str) -> str:
@@ -51,7 +50,7 @@ def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op7_warc_round_trip": warc.ORACLE, "op9_ngram_jaccard_join": jaccard_join.ORACLE, "op10_decontamination": decontaminate.ORACLE}

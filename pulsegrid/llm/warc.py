@@ -185,3 +185,12 @@ def round_trip(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, file_bytes:
     folder = f"{work_dir(spark)}/warc"
     files = write_archives(planned(pages, revisit_bytes), folder, file_bytes)
     return read_archives(spark, files, folder)
+
+
+#: round_trip over the table pages.
+ORACLE = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
+"""

@@ -404,13 +404,17 @@ def test_phrases_and_proximity_equal_brute_force(spark):
         decontaminate.windows(b, 63)
 
 
-def test_contamination_query_equals_duckdb(spark):
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_duckdb(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "pages"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    assert rows(QUERIES["op10_decontamination"](spark, SF)) == sorted(c.execute(ORACLE_SQL["op10_decontamination"]).fetchall(), key=str)
+    df = QUERIES[name](spark, SF)
+    r = c.execute(ORACLE_SQL[name])
+    assert [d[0] for d in r.description] == df.columns
+    assert rows(df) == sorted(r.fetchall(), key=str)
 
 
 def test_dropping_does_not_depend_on_the_layout(spark):
