@@ -178,3 +178,57 @@ def i5_stateful_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
     ingest.alert_stream(alerts, keep, f"{out}/checkpoint").awaitTermination()
     return spark.read.schema(ingest.ALERTS).parquet(f"{out}/alerts").select("account", "metric", "seq", "value", r4("mean").alias("mean"), r4("std").alias("std"))
+
+
+@query("SELECT 'acct_' || user_id AS device_account_id, 'DEV-' || user_id AS device_id, 'u' || user_id || '@example.com' AS email, CAST(floor(epoch(min(ts))) AS BIGINT) AS registered_s FROM events GROUP BY user_id")
+def a17_registry_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Registrations as messages of the registry topic, one with each event, parsed; the first of each account counts."""
+    at, user = F.col("ts").cast("timestamp"), F.col("user_id").cast("string")
+    m = F.struct(F.concat(F.lit("acct_"), user).alias("device_account_id"), F.concat(F.lit("DEV-"), user).alias("device_id"), F.concat(F.lit("u"), user, F.lit("@example.com")).alias("email"), at.alias("registered"))
+    messages = A.load(spark, sf, "events").select(F.to_json(m).alias("value"), F.lit("device_registry").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), at.alias("timestamp"))
+    got = T.parse_topic(T.to_bronze(messages, F.col("timestamp")), "device_registry", T.REGISTRY)
+    return got.groupBy("device_account_id", "device_id", "email").agg(F.unix_timestamp(F.min("registered")).alias("registered_s"))
+
+
+@query("SELECT 'orders' AS name, o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 2, 3 UNION ALL SELECT 'missing', NULL, NULL, 0")
+def a8_overwritten_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders, overwritten by a version with a further column and another layout; and a table without upstream, written empty with its types."""
+    out = T.shared_folder(spark)
+    orders = A.load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    T.overwrite(orders.drop("o_orderpriority"), f"{out}/orders")
+    T.overwrite(orders, f"{out}/orders", ["o_orderstatus"])
+    T.overwrite(T.or_empty(T.read_table(spark, f"{out}/missing"), spark, orders.schema), f"{out}/missing")
+    each = T.read_table(spark, f"{out}/orders").groupBy(F.lit("orders").alias("name"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+    none = T.read_table(spark, f"{out}/missing").agg(F.max("o_orderstatus").alias("status"), F.max("o_orderpriority").alias("priority"), F.count("*").alias("n"))
+    return each.unionByName(none.withColumn("name", F.lit("missing")))
+
+
+@query("SELECT CAST(user_id % 6 AS INTEGER) AS kafka_partition, count(*) AS n, CAST(sum(event_id * 2 + x) AS BIGINT) AS sum_offset FROM events, (SELECT unnest([0, 1]) AS x) WHERE x = 0 OR event_id % 50 = 0 GROUP BY 1")
+def i1_continuous_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Events through the continuous bronze sink, which is stopped and started again while files arrive; every message is there once."""
+    out = T.shared_folder(spark)
+    events = A.load(spark, sf, "events")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for k in (0, 1):
+        T.append(events.filter(half == k), f"{out}/in")
+        messages = A.event_messages(ingest.file_source(spark, f"{out}/in", events.schema, files_per_batch=4))
+        q = ingest.bronze_stream(messages, f"{out}/bronze", f"{out}/checkpoint", every="1 second")
+        q.processAllAvailable()
+        q.stop()
+    return spark.read.parquet(f"{out}/bronze").groupBy("kafka_partition").agg(F.count("*").alias("n"), F.sum("kafka_offset").alias("sum_offset"))
+
+
+@query(f"WITH {READINGS} SELECT date_key, count(*) AS n, count(*) FILTER (is_late_arriving) AS n_late, count(*) FILTER (lag_s > {quality.VERY_LATE_SECONDS}) AS n_very_late FROM r GROUP BY 1")
+def i7_late_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages that were synced late or again come in a later run of the upsert than the others, some beyond 48 hours: all are flagged, none is dropped."""
+    out = T.shared_folder(spark)
+    messages = A.event_messages(A.load(spark, sf, "events"))
+    at = lambda name: F.get_json_object("value", f"$.{name}_timestamp")
+    for late in (False, True):
+        T.append(messages.filter((at("event") != at("sync")) == late), f"{out}/in")
+        stream = ingest.file_source(spark, f"{out}/in", messages.schema)
+        ingest.upsert_stream(T.to_bronze(stream, F.col("timestamp")), A.to_silver, f"{out}/silver", f"{out}/checkpoint").awaitTermination()
+    silver = ingest.first_arrivals(spark, f"{out}/silver", ["reading_id", "metric_name"], "sync_timestamp", "ingestion_timestamp")
+    silver = quality.flag_late(silver, seconds=quality.VERY_LATE_SECONDS, name="is_very_late")
+    count = lambda c: F.count(F.when(F.col(c), 1))
+    return silver.groupBy(K.date_key("event_timestamp").alias("date_key")).agg(F.count("*").alias("n"), count("is_late_arriving").alias("n_late"), count("is_very_late").alias("n_very_late"))
