@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
@@ -182,3 +182,9 @@ def with_new_columns(batch: pa.RecordBatch, keep: list[str], new: dict[str, pa.A
 def id_and_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns, whatever else the table has; a missing text column counts as null texts."""
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), (F.col(text).cast("string") if text in docs.columns else F.lit(None).cast("string")).alias("text"))
+
+
+def plainly(docs: DataFrame, own: set[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What step, which keeps the columns, makes of docs; meanwhile the columns that aren't in `own` have names that clash with nothing."""
+    names = [c if c in own else f"other_column_{k}" for k, c in enumerate(docs.columns)]
+    return step(docs.toDF(*names)).select(*names).toDF(*docs.columns)

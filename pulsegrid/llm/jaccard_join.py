@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from pulsegrid.operators.identity import connected_components
 
-from .common import id_and_text, mix, ngram_hashes, slices, small_batches, small_side, stored, word_hashes, words_of
+from .common import id_and_text, mix, ngram_hashes, plainly, slices, small_batches, small_side, stored, word_hashes, words_of
 
 SHINGLE = 5
 #: Similarity as a fraction.
@@ -359,6 +359,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     Rows are known by their id and text, never by their place, so any order of reading gives the same rows. Rows without
     words stay; a class without any id is known by the set of its own.
     """
+    return plainly(docs, {doc_id, text}, lambda d: _without_copies(d, doc_id, text))
+
+
+def _without_copies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     key = ["__id", "__hash", "__bytes"]
     keyed = docs.select(*docs.columns, F.col(doc_id).cast("long").alias("__id"), F.xxhash64(F.col(text).cast("string")).alias("__hash"), F.octet_length(F.col(text).cast("string")).alias("__bytes"))
     found = near_duplicates(keyed, keep=key, doc_id=doc_id, text=text).filter("sid IS NOT NULL")

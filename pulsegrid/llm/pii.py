@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, small_side, stored
+from .common import plainly, slices, small_batches, small_side, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "secret")
@@ -236,7 +236,11 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, text: str = "text") ->
 
 
 def redact(docs: DataFrame, rounds: int = ROUNDS, text: str = "text") -> DataFrame:
-    """docs with every span replaced by its kind in angle brackets; of overlapping spans the first one names what they cover together. An n_chars column is counted anew."""
+    """docs with every span replaced by its kind in angle brackets; of overlapping spans the first one names what they cover together. An n_chars column is counted anew; the others keep their values, whatever they are called."""
+    return plainly(docs, {text, "n_chars"}, lambda d: _redacted(d, rounds, text))
+
+
+def _redacted(docs: DataFrame, rounds: int, text: str) -> DataFrame:
     keep = [f"`{c}`" for c in docs.columns]
     found = extract(docs, text, keep)
     df = with_spans(found, discover(found, rounds)).select(*docs.columns, "all_spans")

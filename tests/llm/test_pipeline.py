@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from pulsegrid.llm.common import stored
 
@@ -34,3 +36,14 @@ def test_rejection(spark):
     more = spark.createDataFrame([(-1, "123 456", "en", "s", 7), (-2, None, "en", "s", None)], df.schema)
     left = P.identify_language(spark, df.unionByName(more), SF)
     assert not [r for r in left.collect() if r.doc_id < 0] and all(re.search(r"\w", r.text) for r in left.collect())
+
+
+def test_columns_with_clashing_names_stay(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    for name in ("lang_pred", "score", "sid", "class_id", "row", "seeds", "spans", "all_spans", "text_hash", "a.b"):
+        d = d.withColumn(name, F.lit("own"))
+    for stage in (P.identify_language, P.drop_near_copies, P.redact_personal_data):
+        out = stage(spark, d, SF)
+        assert out.columns == d.columns
+        got = out.collect()
+        assert got and all(r["a.b"] == r["row"] == r["spans"] == "own" for r in got)
