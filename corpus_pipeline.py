@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, jaccard_join, language_id, packing, pii
-from pulsegrid.llm.common import stored, table
+from pulsegrid.llm.common import plainly, stored, table
 from pulsegrid.llm.queries import vocabulary
 
 #: Below this score no language accepts the text: its best output is under -0.4 on the scale from -1 to 1.
@@ -19,9 +19,14 @@ LEAST_LANGUAGE_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or that no language accepts, go; `lang` becomes the prediction."""
-    found = language_id.predict(docs, language_id.fit(docs), keep=docs.columns)
-    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    model = language_id.fit(docs)
+
+    def accepted(docs: DataFrame) -> DataFrame:
+        found = language_id.predict(docs, model, keep=docs.columns)
+        kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+        return kept.withColumn("lang", F.col("lang_pred"))
+
+    return plainly(docs, {"doc_id", "text", "lang"}, accepted)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
