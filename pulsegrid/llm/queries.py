@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard_join, language_id, quality_knn, quality_rules, warc
+from . import code_compression, decontaminate, html_extract, jaccard_join, language_id, odd_sketch, quality_knn, quality_rules, warc, whitening
 from .common import held_out, table
 from .packing import Capacity, pack, pieces
 from .pii import personal_data
@@ -66,6 +67,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors)).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_compression.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_odd_sketch_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
     "op2_token_counts": op2_token_counts,
@@ -77,5 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_code_compression": op12_code_compression,
+    "op13_odd_sketch_near_copies": op13_odd_sketch_near_copies,
 }
-ORACLE_SQL: dict[str, str] = {"op7_warc_round_trip": warc.ORACLE, "op9_ngram_jaccard_join": jaccard_join.ORACLE, "op10_decontamination": decontaminate.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op7_warc_round_trip": warc.ORACLE, "op9_ngram_jaccard_join": jaccard_join.ORACLE, "op10_decontamination": decontaminate.ORACLE, "op12_code_compression": code_compression.oracle(), "op13_odd_sketch_near_copies": odd_sketch.ORACLE}

@@ -409,7 +409,7 @@ def test_query_equals_duckdb(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     r = c.execute(ORACLE_SQL[name])
