@@ -126,6 +126,13 @@ def primary_conditions(conditions: DataFrame, dim: DataFrame) -> DataFrame:
     return df.groupBy("patient_id").agg(F.min_by("condition_key", F.struct(F.coalesce("onset_date", F.lit("9999-12-31").cast("date")), "icd10_code")).alias("primary_condition_key"))
 
 
+def dim_patient_of_ehr(demographics: DataFrame, as_of_year: int) -> DataFrame:
+    """The patient dimension before there is an identity bridge: a person for each e-mail address of the clinical batches, the least record number of several; conditions and devices are unknown. Records without an address name no person."""
+    people = demographics.filter("patient_email IS NOT NULL").withColumn("person", person_key("patient_email"))
+    one = people.groupBy("person").agg(F.min(F.struct("patient_id", "patient_birth_year")).alias("x")).select("person", "x.*")
+    return one.select(surrogate_key("person").alias("patient_key"), person_key("patient_id").alias("patient_id_masked"), age_group("patient_birth_year", as_of_year).alias("age_group"), F.lit("Unknown").alias("gender"), F.lit(None).cast("long").alias("primary_condition_key"), F.lit(0).cast("long").alias("device_count"), F.lit(None).cast("date").alias("first_reading_date"))
+
+
 def dim_patient(bridge: DataFrame, demographics: DataFrame, conditions: DataFrame, condition_dim: DataFrame, readings: DataFrame, as_of_year: int) -> DataFrame:
     """A row per person with a record number: masked id, age group, primary condition, devices and first reading."""
     of = lambda kind: bridge.filter((F.col("identifier_type") == kind) & F.col("patient_key").isNotNull()).select(F.col("patient_key").alias("person"), F.col("identifier_value"))

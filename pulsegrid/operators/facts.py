@@ -12,7 +12,7 @@ from pulsegrid.sources.tables import seed
 from .dims import LAB_CONDITIONS
 from .joins import overlap_join
 from .quality import flag_normal, quality_score
-from .windows import anomalies, keep_first, rolling_stats
+from .windows import anomalies, keep_first, rolling_stats, trend_deviations
 
 
 def with_patient(readings: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -65,10 +65,19 @@ def fact_prescription_fill(fills: DataFrame, medications: DataFrame) -> DataFram
 
 
 def fact_anomaly_alert(readings: DataFrame, bridge: DataFrame, metrics: DataFrame, sigma: float = 2.0, days: int = 30) -> DataFrame:
-    """Valid readings beyond sigma deviations of their patient's own trailing baseline."""
+    """Valid readings beyond sigma deviations of their patient's own trailing baseline, and days whose trend is (`trend_deviation`).
+
+    A trend's alert stands at its day's last reading; its value, threshold and baseline are changes per day.
+    """
     df = with_metric(with_patient(readings.filter("is_valid"), bridge), metrics).filter("metric_key IS NOT NULL")
     found = anomalies(rolling_stats(df, ["patient_key", "metric_name"], days=days), sigma=sigma)
-    return found.select(surrogate_key("reading_id", "metric_name").alias("alert_key"), "patient_key", "metric_key", date_key("event_timestamp").alias("date_key"), time_key("event_timestamp").alias("time_key"), "alert_type", "severity", "metric_value", "threshold_value", F.col("rolling_mean").alias("patient_baseline"), F.lit(False).alias("resolved_flag"), F.lit(None).cast("timestamp").alias("resolved_timestamp"))
+    out = ["alert_key", "patient_key", "metric_key", "date_key", "time_key", "alert_type", "severity", "metric_value", "threshold_value", "patient_baseline"]
+    single = found.withColumn("alert_key", surrogate_key("reading_id", "metric_name")).withColumn("date_key", date_key("event_timestamp")).withColumn("time_key", time_key("event_timestamp")).withColumn("patient_baseline", F.col("rolling_mean")).select(*out)
+    daily = df.groupBy("patient_key", "metric_key", F.to_date("event_timestamp").alias("day")).agg(F.avg("metric_value").alias("mean"), F.max(time_key("event_timestamp")).alias("time_key"))
+    trends = trend_deviations(daily, ["patient_key", "metric_key"], "day", "mean", past_days=days, sigma=sigma).withColumn("date_key", date_key("day")).withColumn("alert_type", F.lit("trend_deviation"))
+    trends = trends.withColumn("alert_key", surrogate_key("patient_key", "metric_key", "date_key", F.lit("trend_deviation"))).withColumn("metric_value", F.col("slope")).withColumn("patient_baseline", F.col("slope_mean"))
+    trends = trends.withColumn("threshold_value", F.col("slope_mean") + F.signum("z_score") * sigma * F.col("slope_std")).select(*out)
+    return single.unionByName(trends).withColumn("resolved_flag", F.lit(False)).withColumn("resolved_timestamp", F.lit(None).cast("timestamp"))
 
 
 def fact_activity_session(sessions: DataFrame, keys: list[str], rank: str, start: str = "start", end: str = "end", session_id: str = "session_id") -> DataFrame:

@@ -69,6 +69,26 @@ def trend(daily: DataFrame, keys: list[str], day: str, value: str, days: int = 7
     return df.withColumn("direction", F.when(F.col("pct_change").isNull(), None).when(F.col("pct_change") > flat, "up").when(F.col("pct_change") < -flat, "down").otherwise("stable"))
 
 
+def slopes(daily: DataFrame, keys: list[str], day: str, value: str, days: int = 7, least: int = 3) -> DataFrame:
+    """slope: the least-squares change of the value per day over the trailing days, the day itself included; null where these have fewer than `least` rows or no slope. One row for each key and day."""
+    w = Window.partitionBy(*keys).orderBy("_d").rangeBetween(1 - days, 0)
+    df = daily.withColumn("_d", F.datediff(F.col(day), F.lit("1970-01-01")))
+    return df.withColumn("slope", F.when(F.count(value).over(w) >= least, F.regr_slope(F.col(value), F.col("_d")).over(w))).drop("_d")
+
+
+def trend_deviations(daily: DataFrame, keys: list[str], day: str, value: str, days: int = 7, least: int = 3, past_days: int = 30, least_past: int = 5, sigma: float = SIGMA) -> DataFrame:
+    """Days whose slope lies beyond sigma deviations of the key's own slopes of the days before: slope, slope_mean, slope_std, z_score and severity.
+
+    Frames are of days, so they hold a bounded number of rows whatever the series' length. Days without a slope are no alerts
+    and don't count as past ones; at least `least_past` of these are needed.
+    """
+    w = Window.partitionBy(*keys).orderBy("_d").rangeBetween(-past_days, -1)
+    df = slopes(daily, keys, day, value, days, least).withColumn("_d", F.datediff(F.col(day), F.lit("1970-01-01")))
+    df = df.withColumn("slope_mean", F.avg("slope").over(w)).withColumn("slope_std", F.stddev_samp("slope").over(w)).withColumn("_n", F.count("slope").over(w))
+    df = df.filter((F.col("_n") >= least_past) & (F.col("slope_std") > 0)).withColumn("z_score", (F.col("slope") - F.col("slope_mean")) / F.col("slope_std"))
+    return df.filter(F.abs("z_score") > sigma).withColumn("severity", severity(F.col("z_score"), sigma)).drop("_d", "_n")
+
+
 def runs(df: DataFrame, keys: list[str], order: list[str], flag: Column, least: int = 3) -> DataFrame:
     """Runs of at least `least` consecutive rows where the flag holds: keys, run_start, run_end, run_length."""
     w = Window.partitionBy(*keys).orderBy(*order)

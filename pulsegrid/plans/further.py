@@ -11,7 +11,7 @@ from pulsegrid.sources import adapter as A
 from pulsegrid.sources import tables as T
 from pulsegrid.streaming import ingest
 
-from .queries import CODE, DAILY, HISTORY, READINGS, _patients, _stream, key, query, r4
+from .queries import CODE, DAILY, FILLS, HISTORY, READINGS, _patients, _stream, key, query, r4
 from .warehouse import Warehouse
 
 KIND = "CASE o_orderkey % 3 WHEN 0 THEN 'Condition' WHEN 1 THEN 'MedicationStatement' ELSE 'Observation' END"
@@ -97,6 +97,18 @@ def m10_chronic_conditions(spark: SparkSession, sf: str) -> DataFrame:
     return A.conditions(spark, sf).join(d, "icd10_code").groupBy("is_chronic").agg(F.count("*").alias("n"), F.countDistinct("patient_id").alias("patients"))
 
 
+CLASS_OF = "(VALUES " + ", ".join(f"('{m.lower()}', '{c}')" for m, _, c in dims.MEDICATIONS) + ") t(drug, class_name)"
+
+
+@query(f"WITH {FILLS} SELECT class_name, class_name IN ('{"', '".join(dims.MONITORED)}') AS requires_monitoring, count(*) AS n, count(DISTINCT pharmacy_patient_id) AS patients FROM ff JOIN {CLASS_OF} USING (drug) GROUP BY 1, 2")
+def m10_monitored_fills(spark: SparkSession, sf: str) -> DataFrame:
+    """Fills by drug class, and whether the class needs regular laboratory control."""
+    classes = dims.with_monitoring(dims.dim_drug_class(spark)).select("drug_class_key", "class_name", "requires_monitoring")
+    drugs = dims.dim_medication(spark).select("medication_key", "drug_class_key").join(classes, "drug_class_key")
+    by = Warehouse(spark, sf).fact_prescription_fill.join(drugs, "medication_key").groupBy("class_name", "requires_monitoring")
+    return by.agg(F.count("*").alias("n"), F.countDistinct("patient_key").alias("patients"))
+
+
 ASSIGNED = """
 vb AS (SELECT l_suppkey AS patient, CAST(l_shipdate AS DATE) AS batch_date, 'v' || (l_linenumber % 3) AS status, 'acct_' || (l_partkey % 5) AS dosage, (l_orderkey * 8 + l_linenumber) * 100000007 + l_partkey AS seq, sha256('v' || (l_linenumber % 3) || '||' || 'acct_' || (l_partkey % 5)) AS row_hash FROM lineitem)"""
 

@@ -69,6 +69,12 @@ STATS = """
 st AS (SELECT *, avg(metric_value) OVER w AS m, stddev_samp(metric_value) OVER w AS sd FROM r WHERE is_valid
        WINDOW w AS (PARTITION BY patient_key, metric_name ORDER BY event_s RANGE BETWEEN 2592000 PRECEDING AND CURRENT ROW)),
 al AS (SELECT *, (metric_value - m) / sd AS z FROM st WHERE sd > 0 AND abs((metric_value - m) / sd) > 2)"""
+#: Days of a patient's metric whose seven-day slope is beyond its own past ones, and all alerts.
+TRENDS = f"""
+td AS (SELECT patient_key, metric_key, metric_name, CAST(event_timestamp AS DATE) AS day, date_key, date_diff('day', DATE '1970-01-01', CAST(event_timestamp AS DATE)) AS x, avg(metric_value) AS v, max(time_key) AS time_key FROM r WHERE is_valid GROUP BY ALL),
+tl AS (SELECT *, CASE WHEN count(v) OVER w >= 3 THEN regr_slope(v, x) OVER w END AS slope FROM td WINDOW w AS (PARTITION BY patient_key, metric_key ORDER BY x RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)),
+tp AS (SELECT *, count(slope) OVER w AS n, avg(slope) OVER w AS m, stddev_samp(slope) OVER w AS sd FROM tl WINDOW w AS (PARTITION BY patient_key, metric_key ORDER BY x RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)),
+tr AS (SELECT *, {key("patient_key || '|' || metric_key || '|' || date_key || '|trend_deviation'")} AS alert_key, (slope - m) / sd AS z FROM tp WHERE n >= 5 AND sd > 0 AND abs((slope - m) / sd) > 2)"""
 ALERT_TYPE = "CASE WHEN abs(z) > 3 THEN 'sudden_spike' WHEN z > 2 THEN 'sustained_high' ELSE 'sustained_low' END"
 SEVERITY = "CASE WHEN abs(z) > 4 THEN 'critical' WHEN abs(z) > 3 THEN 'high' ELSE 'medium' END"
 #: The people: customers with orders, linked by e-mail to registered accounts.
@@ -175,10 +181,15 @@ def e3_rolling_stats(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("reading_id", r4("rolling_mean").alias("rolling_mean"), r4("rolling_std").alias("rolling_std"))
 
 
-@query(f"WITH {READINGS}, {STATS} SELECT reading_key AS alert_key, patient_key, metric_key, date_key, time_key, {ALERT_TYPE} AS alert_type, {SEVERITY} AS severity, metric_value, round(m + sign(z) * 2 * sd + 1e-9, 4) AS threshold_value, round(m + 1e-9, 4) AS patient_baseline FROM al")
+ALERTS = f"""
+aa AS (SELECT reading_key AS alert_key, patient_key, metric_key, metric_name, CAST(event_timestamp AS DATE) AS day, date_key, time_key, {ALERT_TYPE} AS alert_type, {SEVERITY} AS severity, metric_value, m, sd, z FROM al
+       UNION ALL SELECT alert_key, patient_key, metric_key, metric_name, day, date_key, time_key, 'trend_deviation', {SEVERITY}, slope, m, sd, z FROM tr)"""
+
+
+@query(f"WITH {READINGS}, {STATS}, {TRENDS}, {ALERTS} SELECT alert_key, patient_key, metric_key, date_key, time_key, alert_type, severity, round(metric_value + 1e-9, 4) AS metric_value, round(m + sign(z) * 2 * sd + 1e-9, 4) AS threshold_value, round(m + 1e-9, 4) AS patient_baseline FROM aa")
 def n5_anomaly_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    df = Warehouse(spark, sf).fact_anomaly_alert
-    return df.select("alert_key", "patient_key", "metric_key", "date_key", "time_key", "alert_type", "severity", "metric_value", r4("threshold_value").alias("threshold_value"), r4("patient_baseline").alias("patient_baseline"))
+    df = Warehouse(spark, sf, stored=True).fact_anomaly_alert
+    return df.select("alert_key", "patient_key", "metric_key", "date_key", "time_key", "alert_type", "severity", r4("metric_value").alias("metric_value"), r4("threshold_value").alias("threshold_value"), r4("patient_baseline").alias("patient_baseline"))
 
 
 @query("WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, avg(value) AS v FROM events GROUP BY 1, 2), m AS (SELECT *, avg(v) OVER (PARTITION BY event_type ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING) AS a FROM d) SELECT event_type, CAST(day AS VARCHAR) AS day, round(a + 1e-9, 4) AS moving_avg, round(100 * (v - a) / a + 1e-9, 4) AS pct_change, CASE WHEN a IS NULL THEN NULL WHEN 100 * (v - a) / a > 2 THEN 'up' WHEN 100 * (v - a) / a < -2 THEN 'down' ELSE 'stable' END AS direction FROM m")
@@ -402,10 +413,6 @@ def l6_pharmacy_links(spark: SparkSession, sf: str) -> DataFrame:
     return identity.pharmacy_links(o.drop("patient_id"), o.drop("pharmacy_patient_id"))
 
 
-#: The name that the query had while l6_pharmacy_links took every twentieth order only.
-QUERIES["l6_pharmacy_links_all"], ORACLE_SQL["l6_pharmacy_links_all"] = l6_pharmacy_links, ORACLE_SQL["l6_pharmacy_links"]
-
-
 @query("SELECT a.p_partkey, b.p_partkey AS p_partkey_b, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) + 1e-9, 4) AS similarity FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) >= 0.6")
 def l7_fuzzy_links(spark: SparkSession, sf: str) -> DataFrame:
     p = A.load(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
@@ -461,6 +468,14 @@ def m8_dim_patient(spark: SparkSession, sf: str) -> DataFrame:
     return Warehouse(spark, sf).dim_patient.withColumn("first_reading_date", F.col("first_reading_date").cast("string"))
 
 
+@query(f"SELECT {key("sha256('u' || c_custkey || '@example.com')")} AS patient_key, sha256('mrn' || c_custkey) AS patient_id_masked, {AGE} AS age_group, 'Unknown' AS gender, CAST(NULL AS BIGINT) AS primary_condition_key, CAST(0 AS BIGINT) AS device_count, CAST(NULL AS VARCHAR) AS first_reading_date FROM customer WHERE c_custkey % 11 <> 0")
+def m8_dim_patient_of_ehr(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension as it is built before there is a bridge; some addresses are written in two ways."""
+    d = A.demographics(spark, sf)
+    again = d.withColumn("patient_email", F.concat(F.lit(" "), F.upper("patient_email")))
+    return dims.dim_patient_of_ehr(d.unionByName(again), 2024).withColumn("first_reading_date", F.col("first_reading_date").cast("string"))
+
+
 @query(f"WITH {READINGS} SELECT device_key, device_id, min(device_type) AS device_type, firmware_version, {case('substr(device_id, 1, 2)', K.MODELS, 'Unknown')} AS model, CASE WHEN max(user_id) % 5 <> 0 THEN max(patient_key) END AS patient_key, CAST(min(CAST(event_timestamp AS DATE)) AS VARCHAR) AS registration_date FROM r GROUP BY device_key, device_id, firmware_version")
 def m9_dim_device(spark: SparkSession, sf: str) -> DataFrame:
     return Warehouse(spark, sf).dim_device.select("device_key", "device_id", "device_type", "firmware_version", "model", "patient_key", F.col("registration_date").cast("string").alias("registration_date"))
@@ -499,10 +514,10 @@ def v1_patient_vital_trends(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, "patient_vital_trends", w.tables("fact_vital_daily_summary", "dim_metric", "dim_patient")).select("patient_key", "age_group", "metric_name", "date_key", r4("avg_value").alias("avg_value"), "reading_count", "avg_status")
 
 
-@query(f"WITH {PEOPLE}, {PATIENT}, {READINGS}, {STATS} SELECT reading_key AS alert_key, al.patient_key, po.age_group, metric_name, date_key, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS alert_date, {SEVERITY} AS severity, round((metric_value - m) / m * 100 + 1e-9, 1) AS pct_deviation FROM al JOIN po ON al.patient_key = po.patient_key")
+@query(f"WITH {PEOPLE}, {PATIENT}, {READINGS}, {STATS}, {TRENDS}, {ALERTS} SELECT alert_key, aa.patient_key, po.age_group, metric_name, date_key, CAST(day AS VARCHAR) AS alert_date, alert_type, severity, round((metric_value - m) / nullif(m, 0) * 100 + 1e-9, 1) AS pct_deviation FROM aa JOIN po ON aa.patient_key = po.patient_key")
 def v2_active_anomaly_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    w = Warehouse(spark, sf)
-    return view(spark, "active_anomaly_alerts", w.tables("fact_anomaly_alert", "dim_metric", "dim_patient")).select("alert_key", "patient_key", "age_group", "metric_name", "date_key", F.col("alert_date").cast("string").alias("alert_date"), "severity", "pct_deviation")
+    w = Warehouse(spark, sf, stored=True)
+    return view(spark, "active_anomaly_alerts", w.tables("fact_anomaly_alert", "dim_metric", "dim_patient")).select("alert_key", "patient_key", "age_group", "metric_name", "date_key", F.col("alert_date").cast("string").alias("alert_date"), "alert_type", "severity", "pct_deviation")
 
 
 @query(f"WITH {FILLS} SELECT {key('rx_id')} AS fill_key, drug AS medication_name, CAST(fill_date AS VARCHAR) AS fill_date, CASE WHEN refill_number = 0 THEN 'new_prescription' ELSE 'refill' END AS fill_type FROM ff WHERE drug IS NOT NULL")
@@ -558,13 +573,13 @@ def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return run_pipeline(spark, sf, T.shared_folder(spark))
 
 
-GOLD_SQL = f"""{READINGS}, {PEOPLE}, {PATIENT}, {LABS}, {FILLS}, {DAILY}, {STATS}, {LAB_FACT}"""
+GOLD_SQL = f"""{READINGS}, {PEOPLE}, {PATIENT}, {LABS}, {FILLS}, {DAILY}, {STATS}, {LAB_FACT}, {TRENDS}, {ALERTS}"""
 STATUS = "CASE WHEN n = 0 THEN 'ok' ELSE 'fail' END"
 
 
 @query(f"""WITH {GOLD_SQL}, x AS (SELECT unnest(['dim_condition_category', 'dim_drug_class', 'dim_metric', 'dim_condition', 'dim_medication', 'dim_date', 'dim_time']) AS o, unnest([{len(dims.CATEGORIES)}, {len(dims.DRUG_CLASSES)}, {len(A.METRICS)}, {len(dims.CONDITIONS)}, {len(dims.MEDICATIONS)}, 1096, 1440]) AS n
 UNION ALL SELECT 'dim_patient', count(*) FROM po UNION ALL SELECT 'dim_device', count(DISTINCT device_key) FROM r UNION ALL SELECT 'fact_vital_reading', count(*) FROM r WHERE is_valid UNION ALL SELECT 'fact_vital_daily_summary', count(*) FROM d
-UNION ALL SELECT 'fact_lab_result', count(*) FROM lg UNION ALL SELECT 'fact_prescription_fill', count(*) FROM ff UNION ALL SELECT 'fact_anomaly_alert', count(*) FROM al)
+UNION ALL SELECT 'fact_lab_result', count(*) FROM lg UNION ALL SELECT 'fact_prescription_fill', count(*) FROM ff UNION ALL SELECT 'fact_anomaly_alert', count(*) FROM aa)
 SELECT 'row_count' AS "check", o AS object, CAST(n AS DOUBLE) AS value, CASE WHEN o IN ('{"', '".join(checks.EXPECTED_COUNTS)}') THEN CASE WHEN n = {case('o', checks.EXPECTED_COUNTS, '-1')} THEN 'ok' WHEN n = 0 THEN 'warn' ELSE 'fail' END WHEN n > 0 THEN 'ok' ELSE 'warn' END AS status FROM x""")
 def o1_gold_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return checks.check_counts(_gold(spark, sf) | {"dim_date": dims.dim_date(spark), "dim_time": dims.dim_time(spark)})
@@ -576,7 +591,7 @@ UNION ALL SELECT 'fact_vital_reading.patient_key -> dim_patient', count(*) FROM
 UNION ALL SELECT 'fact_vital_daily_summary.patient_key -> dim_patient', count(*) FROM d WHERE patient_key NOT IN (SELECT patient_key FROM po)
 UNION ALL SELECT 'fact_lab_result.patient_key -> dim_patient', count(*) FROM lg WHERE patient_key NOT IN (SELECT patient_key FROM po)
 UNION ALL SELECT 'fact_prescription_fill.patient_key -> dim_patient', count(*) FROM (SELECT {key('pharmacy_patient_id')} AS patient_key FROM ff) WHERE patient_key NOT IN (SELECT patient_key FROM po)
-UNION ALL SELECT 'fact_anomaly_alert.patient_key -> dim_patient', count(*) FROM al WHERE patient_key NOT IN (SELECT patient_key FROM po))
+UNION ALL SELECT 'fact_anomaly_alert.patient_key -> dim_patient', count(*) FROM aa WHERE patient_key NOT IN (SELECT patient_key FROM po))
 SELECT 'foreign_key' AS "check", o AS object, CAST(n AS DOUBLE) AS value, {STATUS} AS status FROM x""")
 def o2_gold_foreign_keys(spark: SparkSession, sf: str) -> DataFrame:
     return checks.check_foreign_keys(_gold(spark, sf))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -20,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that the cluster names in spark.checkpoint.dir; where that is unset, a temporary one for a local master, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        # a master that can't be read may be a cluster's; local-cluster has executors of its own
+        if not re.match(r"local($|\[)", spark.conf.get("spark.master", None) or ""):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="pulsegrid-")
         spark.conf.set("spark.checkpoint.dir", root)
