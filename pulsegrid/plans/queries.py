@@ -772,4 +772,4 @@ def a15_replay(spark: SparkSession, sf: str) -> DataFrame:
     return T.replay(spark, f"{out}/bronze", "2000", lambda df: df.groupBy("day").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")))
 
 
-from . import further  # noqa: E402, F401 - adds its queries
+from . import further, upkeep  # noqa: E402, F401 - they add their queries

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -14,3 +17,16 @@ DEFAULTS = {
 
 def session(name: str = "pulsegrid", **conf: str) -> SparkSession:
     return SparkSession.builder.appName(name).config(map=DEFAULTS | conf).getOrCreate()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings are these within, and as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 ENTRY = "resource_type string, code string, description string, category string, is_chronic boolean, onset_date string, status string, clinician_npi string, medication string, generic_name string, drug_class string, dosage string, frequency string, start_date string, end_date string, prescriber_npi string, value double, unit string, reference_low double, reference_high double, is_abnormal boolean, date string"
 EHR_SCHEMA = f"batch_date string, patient_count int, patients array<struct<resource_type:string,patient_id:string,patient_name:string,patient_email:string,patient_birth_year:int,patient_zip:string,generated_at:string,entries:array<struct<{', '.join(x.replace(' ', ':', 1) for x in ENTRY.split(', '))}>>>>"
@@ -71,6 +71,30 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
+#: A comma outside of quotes.
+COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows of CSV files with a header line that fit the schema, and the lines that don't: (file, line, reason).
+
+    The reason is `few` or `many` for a line with fewer or more fields than the schema, else `type` and the names of the fields
+    whose text isn't of their type. Empty fields are nulls and fit every type. No line is lost.
+    """
+    whole = StructType([*schema.fields, StructField("_line", StringType())])
+    raw = spark.read.schema(whole).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).csv(path).withColumn("_file", F.col("_metadata.file_name"))
+    fields = F.split(F.col("_line"), COMMA, -1)
+    wrong = [F.when((F.get(fields, F.lit(k)) != "") & F.col(f.name).isNull(), F.lit(f.name)) for k, f in enumerate(schema.fields)]
+    size = F.size(fields)
+    reason = F.when(size < len(wrong), "few").when(size > len(wrong), "many").otherwise(F.concat(F.lit("type "), F.array_join(F.array_compact(F.array(*wrong)), ", ")))
+    good = raw.filter("_line IS NULL").drop("_line", "_file")
+    return good, raw.filter("_line IS NOT NULL").select(F.col("_file").alias("file"), F.col("_line").alias("line"), reason.alias("reason"))
+
+
+#: The columns of feedback files.
+FEEDBACK = "feedback_id long, device_account_id string, rating int, comment string, submitted timestamp"
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
@@ -108,6 +132,17 @@ def export_jdbc(tables: dict[str, DataFrame], url: str, properties: dict[str, st
     return result
 
 
+def import_jdbc(spark: SparkSession, url: str, table: str, column: str, partitions: int, properties: dict[str, str] | None = None) -> DataFrame:
+    """The table, read by so many tasks, each a range of the whole-number column between its bounds, which the database is asked for. Nulls come with the first range."""
+    props = properties or {}
+    ask = f"(SELECT min(\"{column}\") AS low, max(\"{column}\") AS high FROM {table}) bounds"
+    bounds = spark.read.jdbc(url, ask, properties=props).first()
+    low, high = (None, None) if bounds is None else (bounds[0], bounds[1])
+    if low is None:
+        return spark.read.jdbc(url, table, properties=props)
+    return spark.read.jdbc(url, table, column, int(low), int(high) + 1, partitions, properties=props)
+
+
 def freshness(tables: dict[str, tuple[DataFrame, str]], sla_hours: dict[str, int], now: Column) -> DataFrame:
     """(table, hours, sla_hours, status) by the latest value of each table's time column; an empty table is stale."""
     parts = []

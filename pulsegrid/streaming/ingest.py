@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from pulsegrid.operators.windows import keep_first, keep_latest
+from pulsegrid.session import settings
+from pulsegrid.sources.keyed import merge_into
 from pulsegrid.sources.tables import to_bronze
 
 
@@ -55,10 +59,29 @@ def last_arrivals(spark: SparkSession, path: str, keys: list[str], *order: str)
     return keep_latest(spark.read.parquet(path), keys, "batch", *order)
 
 
+def keyed_stream(df: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, keys: list[str], order: list[str], every: str | None = None, **how) -> StreamingQuery:
+    """Each micro-batch is transformed and merged into the keyed table at path (`sources.keyed`), which has the first row of each key in the order: a read opens one file a partition however many batches there were. A batch that is run again changes nothing."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        merge_into(path, transform(batch), keys, order, f"batch-{number}", **how)
+
+    w = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
+
+
+def stream_sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int, delay: str) -> DataFrame:
+    """keys, session_start, session_end, n as a stream: the sessions of `operators.windows.sessions`, each given out once the watermark, which is `delay` behind the newest row, has passed its gap. Rows may come in any order within the delay; sessions that they connect become one."""
+    # a session ends a gap after its last row, and a row at that very moment still belongs to it
+    own = F.session_window(ts, f"{gap_seconds} seconds")
+    by = df.withWatermark(ts, delay).groupBy(*keys, own.alias("_session"))
+    return by.agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count("*").alias("n")).select(*keys, "session_start", "session_end", "n")
+
+
 class Baseline(StatefulProcessor):
     """Statistics of each key by day, of the trailing `days` days; a reading beyond sigma deviations of those before it is an alert.
 
-    The buffer has a row of count, mean and squared deviations for each day, so it is bounded whatever a day's readings are.
+    The buffer has a row of count, mean and squared deviations for each day, so it is bounded whatever a day's readings are,
+    and a day's readings of a batch are judged at once, by running sums of their deviations.
     Days that fall out are removed, idle keys expire. Readings of a batch are taken in the order of their time; one from
     before the newest day counts for its own day, if that is still in the buffer, and is judged as of the newest one.
     """
@@ -80,31 +103,31 @@ class Baseline(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         held = {k[0]: tuple(v) for k, v in self.state.iterator()} if self.state.exists() else {}
-        old, changed, out = set(held), set(), []
-        newest, rest = max(held, default=None), None
+        old, changed, newest, out = set(held), set(), max(held, default=None), []
         frame = pd.concat(list(rows)).sort_values(["event_s", "seq"], kind="stable")
-        for r in frame.itertuples():
-            day = int(r.event_s) // 86400
-            if newest is None or day > newest:
-                newest, rest = day, None
-            if rest is None:
-                held = {k: v for k, v in held.items() if k > newest - self.days}
-                rest = self._merged(v for k, v in held.items() if k != newest)
-            n, mean, m2 = self._merged((rest, held.get(newest, (0, 0.0, 0.0))))
-            if n >= self.least:
-                std = (m2 / (n - 1)) ** 0.5
-                if std > 0 and abs(r.value - mean) > self.sigma * std:
-                    out.append((*key, r.seq, r.value, mean, std))
-            if day > newest - self.days:
-                held[day] = self._merged((held.get(day, (0, 0.0, 0.0)), (1, r.value, 0.0)))
+        for day, own in frame.groupby(frame["event_s"].to_numpy() // 86400):
+            newest = day if newest is None else max(newest, day)
+            held = {k: v for k, v in held.items() if k > newest - self.days}
+            n, mean, m2 = self._merged(held.values())
+            value, counts = own["value"].to_numpy(float), day > newest - self.days
+            # the deviations from the mean so far of the day's readings before each one; none count of a day that is out of the buffer
+            d = (value - mean) * counts
+            before = np.arange(len(d)) * counts + n
+            first, second = np.cumsum(d) - d, np.cumsum(d * d) - d * d
+            with np.errstate(divide="ignore", invalid="ignore"):
+                centre = mean + first / before
+                std = np.sqrt(np.maximum(m2 + second - first * first / before, 0.0) / (before - 1))
+                far = (before >= max(self.least, 2)) & (std > 0) & (np.abs(value - centre) > self.sigma * std)
+            out.append(pd.DataFrame({"account": key[0], "metric": key[1], "seq": own["seq"].to_numpy(), "value": value, "mean": centre, "std": std})[far])
+            if counts:
+                spread = value - value.mean()
+                held[day] = self._merged((held.get(day, (0, 0.0, 0.0)), (len(value), float(value.mean()), float(spread @ spread))))
                 changed.add(day)
-                if day != newest:
-                    rest = None
         for day in old - set(held):
             self.state.removeKey((day,))
         for day in changed & set(held):
             self.state.updateValue((day,), held[day])
-        yield pd.DataFrame(out, columns=["account", "metric", "seq", "value", "mean", "std"])
+        yield pd.concat(out)
 
     def close(self) -> None:
         pass
@@ -115,8 +138,7 @@ ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def baseline_alerts(readings: DataFrame, sigma: float = 2.0, least: int = 5, days: int = 30) -> DataFrame:
-    """Streaming alerts of readings (account, metric, seq, event_s, value). Needs the RocksDB state store."""
-    readings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    """Streaming alerts of readings (account, metric, seq, event_s, value). Needs the RocksDB state store, which `alert_stream` sets for its query."""
     return readings.groupBy("account", "metric").transformWithStateInPandas(Baseline(sigma, least, days), ALERTS, "Append", "ProcessingTime")
 
 
@@ -130,11 +152,6 @@ def alert_stream(alerts: DataFrame, step: Callable[[DataFrame, int], None], chec
     A drain of a processing-time stream would never stop if it ran batches without rows, so this one runs none. Only this
     query is touched: it takes its settings from the session as it starts.
     """
-    conf = alerts.sparkSession.conf
-    before = conf.get(EMPTY_BATCHES)
-    conf.set(EMPTY_BATCHES, "false")
-    try:
+    with settings(alerts.sparkSession, {EMPTY_BATCHES: "false", "spark.sql.streaming.stateStore.providerClass": ROCKS_DB}):
         w = alerts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).outputMode("append")
         return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
-    finally:
-        conf.set(EMPTY_BATCHES, before)
