@@ -3,9 +3,9 @@
 A page becomes a tree of its block elements; inline elements belong to the block they stand in, and scripts, styles and
 other elements whose content is no text are left out. Each node has features: its tag, the learned weights of its, its
 ancestors' and its descendants' attribute tokens, text and link density of its subtree, depth, and how it compares with its
-siblings and the page. The trees give each node the probability of belonging to the main text. Decoding picks, over all
-labellings of the tree in which nothing below a dropped node is kept, the one with the largest likelihood, so an ancestor
-and a descendant never contradict each other. The text is that of the kept nodes in page order: white space within a block
+siblings, with the nearest holder of paragraphs above and with the page. The trees give each node the probability of
+belonging to the main text if its parent does, and learn it from such nodes alone. Decoding goes down the tree: a node is
+kept if its parent is and it likelier belongs than not, so an ancestor and a descendant never contradict each other. The text is that of the kept nodes in page order: white space within a block
 becomes one space, blocks are joined by one.
 
 Attribute tokens are the words of class, id and role, whatever they are, hashed into BUCKETS; a bucket's weight is the
@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from .common import slices, small_batches, stored
 
 SAMPLE_PAGES = 300
-LAYOUT_PAGES = 1200
-TREES, DEPTH = 24, 5
+LAYOUT_PAGES = 6000
+TREES, DEPTH = 24, 6
+FIT_TASKS = 8
 #: Hash buckets of attribute tokens, and how many nodes a bucket without evidence counts as.
 BUCKETS, PRIOR = 1 << 12, 4.0
 #: Elements by their role in HTML.
@@ -51,7 +52,7 @@ IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tr", "td", "th", "thead")}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "tbody": ("table",)}
-TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "nav", "header", "footer", "aside", "form", "table", "td", "blockquote", "pre", "figure", "body", "html")
+TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "nav", "header", "footer", "aside", "form", "table", "td", "blockquote", "pre", "figure", "body", "html", "figcaption", "dl", "dt", "dd", "tr", "th")
 TAG_AT = {t: k for k, t in enumerate(TAGS)}
 HEADINGS = frozenset(("h1", "h2", "h3", "h4"))
 CONTROLS = frozenset(("input", "button", "select", "textarea"))
@@ -59,7 +60,7 @@ CONTROLS = frozenset(("input", "button", "select", "textarea"))
 STATED, OTHERS = frozenset(("article", "main")), frozenset(("nav", "footer", "aside", "form", "header"))
 #: Elements whose content is raw up to their end tag.
 RAW = frozenset(("script", "style"))
-NUMBERS = ("depth", "chars", "density", "links", "stops", "page_share", "children", "below", "index", "from_end", "siblings", "same_tag", "sibling_share", "top_share", "after_top", "before_top", "twins", "child_twins", "child_chars", "paragraphs", "longest", "headings", "has_h1", "after_h1", "controls", "page_twins", "in_stated", "in_other", "token_own", "token_least", "token_most", "token_below", "up_links", "up_top_share", "above_page_share", "above_top_share", "above_least_share", "above_h1", "above_headings", "above_paragraphs", "above_longest", "above_twins")
+NUMBERS = ("depth", "chars", "density", "links", "stops", "page_share", "children", "below", "index", "from_end", "siblings", "same_tag", "sibling_share", "top_share", "after_top", "before_top", "twins", "child_twins", "child_chars", "paragraphs", "longest", "headings", "has_h1", "after_h1", "controls", "page_twins", "in_stated", "in_other", "token_own", "token_least", "token_most", "token_below", "up_links", "up_top_share", "above_page_share", "above_top_share", "above_least_share", "above_h1", "above_headings", "above_paragraphs", "above_longest", "above_twins", "holder_share", "holder_links", "holder_up", "holder_paragraphs", "holder_siblings_share", "best_up", "best_down", "best_share", "after_best")
 WIDTH = len(TAGS) + len(NUMBERS)
 WORD = re.compile(r"[a-z]+")
 END_TAG = re.compile(r"</([A-Za-z]+)")
@@ -133,10 +134,13 @@ class Page(HTMLParser):
         for k, v in attrs:
             if v and k in ("class", "id", "role"):
                 own += WORD.findall(v.lower())
+        self._add(tag, tuple(own))
+
+    def _add(self, tag: str, tokens: tuple[str, ...]) -> None:
         self.tag.append(tag)
         self.controls.append(0)
         self.parent.append(self.open[-1])
-        self.tokens.append(tuple(own))
+        self.tokens.append(tokens)
         self.open.append(len(self.tag) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -171,6 +175,9 @@ class Page(HTMLParser):
             self.skip.clear()
         if self.skip:
             return
+        if self.open == [0] and data.strip():
+            # text outside of all elements stands in a body that isn't written
+            self._add("body", ())
         node = self.open[-1]
         if self.fresh or not self.runs or self.runs[-1][0] != node:
             self.runs.append((node, [], 0))
@@ -250,6 +257,23 @@ def features(page: Page, blocks: list[tuple[int, str, int]], weights: np.ndarray
         share[i] = chars[i] / max(chars[top[p]], 1)
         up_links[i] = max(up_links[p], links[i] / max(chars[i], 1) if chars[i] else 0.0)
         up_share[i] = min(up_share[p], share[i])
+    # the nearest node above that holds a paragraph, and how far up it is
+    holder, up = [0] * n, [0] * n
+    # characters of the paragraphs that stand in a node itself; the node with most of them is the best one
+    held = [0] * n
+    for i in range(1, n):
+        p = page.parent[i]
+        holder[i], up[i] = (p, 1) if paragraphs[p] else (holder[p], up[p] + 1)
+        if not kids[i] and chars[i] >= 40 and 3 * links[i] <= chars[i]:
+            held[p] += chars[i]
+    best = max(range(n), key=lambda i: (held[i], -i))
+    on_path, k = {}, best
+    while k >= 0:
+        on_path[k] = len(on_path)
+        k = page.parent[k]
+    meet, rise = [best if i == best else 0 for i in range(n)], [0] * n
+    for i in range(1, n):
+        meet[i], rise[i] = (i, 0) if i in on_path else (meet[page.parent[i]], rise[page.parent[i]] + 1)
     rows, twins = [], [1] * n
     for p, near in enumerate(kids):
         if not near:
@@ -258,7 +282,7 @@ def features(page: Page, blocks: list[tuple[int, str, int]], weights: np.ndarray
         for k, i in enumerate(near):
             c, m = max(chars[i], 1), kids[i]
             twin = max(Counter(sign[j] for j in m).values()) / len(m) if len(m) > 1 else 0.0
-            rows.append((i, (min(depth[i], 20), min(chars[i], 5000), min(chars[i] / (below[i] + 1), 1000), links[i] / c, min(stops[i] / c, 0.2), chars[i] / whole, min(len(m), 50), min(below[i], 200), min(k, 50), min(len(near) - 1 - k, 50), min(len(near), 50), min(tags[page.tag[i]], 50), chars[i] / max(chars[p], 1), share[i], float(i > top[p]), float(i < top[p]), min(signs[sign[i]], 50), twin, min(chars[i] / max(len(m), 1), 1000), min(paragraphs[i], 50), min(longest[i], 1000), min(headings[i], 20), min(h1[i], 2), float(i >= first_h1), min(controls[i], 20), min(same_sign[sign[i]], 50), stated[i], others[i], own[i], least[i], most[i], down[i], up_links[i], up_share[i], chars[p] / whole, share[p], up_share[p], min(h1[p], 2), min(headings[p], 20), min(paragraphs[p], 50), min(longest[p], 1000), twins[p])))
+            rows.append((i, (min(depth[i], 20), min(chars[i], 5000), min(chars[i] / (below[i] + 1), 1000), links[i] / c, min(stops[i] / c, 0.2), chars[i] / whole, min(len(m), 50), min(below[i], 200), min(k, 50), min(len(near) - 1 - k, 50), min(len(near), 50), min(tags[page.tag[i]], 50), chars[i] / max(chars[p], 1), share[i], float(i > top[p]), float(i < top[p]), min(signs[sign[i]], 50), twin, min(chars[i] / max(len(m), 1), 1000), min(paragraphs[i], 50), min(longest[i], 1000), min(headings[i], 20), min(h1[i], 2), float(i >= first_h1), min(controls[i], 20), min(same_sign[sign[i]], 50), stated[i], others[i], own[i], least[i], most[i], down[i], up_links[i], up_share[i], chars[p] / whole, share[p], up_share[p], min(h1[p], 2), min(headings[p], 20), min(paragraphs[p], 50), min(longest[p], 1000), twins[p], chars[holder[i]] / whole, links[holder[i]] / max(chars[holder[i]], 1), min(up[i], 10), min(paragraphs[holder[i]], 50), share[holder[i]], min(rise[i], 10), min(on_path[meet[i]], 10), chars[meet[i]] / whole, float(i > best))))
             twins[i] = min(signs[sign[i]], 50)
     if rows:
         x[[r[0] for r in rows], len(TAGS) :] = np.array([r[1] for r in rows], np.float32)
@@ -266,17 +290,10 @@ def features(page: Page, blocks: list[tuple[int, str, int]], weights: np.ndarray
 
 
 def decode(parent: list[int], p: np.ndarray) -> list[bool]:
-    """Which nodes are kept: the likeliest labelling in which every kept node's parent is kept. A tie drops. The root counts as kept."""
-    n = len(parent)
-    q = np.clip(p, 1e-4, 1 - 1e-4)
-    drop, keep = np.log(1 - q).tolist(), np.log(q).tolist()
-    for i in range(n - 1, 0, -1):
-        up = parent[i]
-        keep[up] += max(keep[i], drop[i])
-        drop[up] += drop[i]
-    kept = [True] * n
-    for i in range(1, n):
-        kept[i] = kept[parent[i]] and keep[i] > drop[i]
+    """Which nodes are kept, from the root, which counts as kept, down: a node is if its parent is and p, its probability if its parent belongs to the main text, is over a half."""
+    kept = [True] * len(parent)
+    for i in range(1, len(parent)):
+        kept[i] = kept[parent[i]] and float(p[i]) > 0.5
     return kept
 
 
@@ -328,14 +345,15 @@ def exported(model) -> Trees:
 
 
 def stated_labels(page: Page) -> list[int] | None:
-    """1 for nodes in an article or main element, or above one, 0 for others and for what stands in elements of another role; None if no element states the main text."""
+    """1 for nodes in an article or main element, its header included, or above one, 0 for others and for what stands in elements of another role; None if no element states the main text."""
     if STATED.isdisjoint(page.tag):
         return None
     n = len(page.tag)
     out, inside, away = [0] * n, [False] * n, [False] * n
     for i in range(1, n):
         p = page.parent[i]
-        away[i] = away[p] or page.tag[i] in OTHERS
+        # the header of an article has its title
+        away[i] = away[p] or (page.tag[i] in OTHERS and not (page.tag[i] == "header" and inside[p]))
         inside[i] = inside[p] or page.tag[i] in STATED
         out[i] = int(inside[i] and not away[i])
     return above(page, out)
@@ -413,31 +431,95 @@ def layout_page(seed: int, invented: bool | None = None) -> tuple[str, list[str]
             return wrap(role, f'<h3>{sentence(3)}</h3><p>{sentence(9)} <a href="/x">{sentence(2)}</a></p>')
         return wrap(role, r.choice([sentence(r.randint(2, 14)), f"<p>{sentence(r.randint(3, 20))}</p>", f"<p>{sentence(6)} <a href=/y>{word()}</a></p>"]))
 
+    def own(t: str) -> str:
+        """t, a block of the main text."""
+        kept.append(t)
+        return t
+
+    def short() -> str:
+        return r.choice([word(), f"{r.randint(1, 9999)} {word()}", sentence(r.randint(1, 4)), sentence(r.randint(3, 9))])
+
+    def linked(t: str) -> str:
+        """t, now and then with inline elements that don't change it."""
+        words = t.split(" ")
+        if len(words) > 4 and r.random() < 0.25:
+            k = r.randrange(len(words))
+            words[k] = r.choice(["<a href=/z>{}</a>", "<em>{}</em>", "<code>{}</code>", "<b>{}</b>"]).format(words[k])
+        return " ".join(words)
+
+    def table() -> str:
+        wide, head = r.randint(2, 4), r.random() < 0.5
+        row = lambda tag: "<tr>" + "".join(f"<{tag}>{own(short())}</{tag}>" for _ in range(wide)) + "</tr>"
+        inner = (f"<thead>{row('th')}</thead>" if head and r.random() < 0.5 else row("th") if head else "") + "".join(row("td") for _ in range(r.randint(1, 5)))
+        return f"<table>{inner}</table>"
+
+    def items_of_text() -> str:
+        tag, long, deep = r.choice(["ul", "ol"]), r.random() < 0.4, r.random() < 0.15
+        each = [f"<li>{'<p>' if deep else ''}{linked(own(text(3) if long else short()))}{'</p>' if deep else ''}</li>" for _ in range(r.randint(1, 7))]
+        return f"<{tag}>{''.join(each)}</{tag}>"
+
+    def quote(level: int = 0) -> str:
+        inner = own(sentence(r.randint(2, 12))) if r.random() < 0.5 else "".join(f"<p>{own(text(3))}</p>" for _ in range(r.randint(1, 3)))
+        return f"<blockquote>{inner}{quote(1) if not level and r.random() < 0.2 else ''}</blockquote>"
+
+    def figure() -> str:
+        caption = f"<figcaption>{own(sentence(r.randint(2, 12)))}</figcaption>" if r.random() < 0.8 else ""
+        return f"<figure><img src=/{word()}.png>{caption}</figure>"
+
+    def terms() -> str:
+        return "<dl>" + "".join(f"<dt>{own(short())}</dt><dd>{own(text(2) if r.random() < 0.4 else short())}</dd>" for _ in range(r.randint(1, 5))) + "</dl>"
+
+    def piece(level: int) -> str:
+        kind = r.random()
+        if kind < 0.08:
+            return f"<{(h := r.choice(['h2', 'h2', 'h3', 'h4']))}>{own(sentence(r.randint(1, 8)))}</{h}>"
+        if kind < 0.16:
+            return items_of_text()
+        if kind < 0.2:
+            return quote()
+        if kind < 0.24:
+            return table()
+        if kind < 0.28:
+            return figure()
+        if kind < 0.32:
+            return terms()
+        if kind < 0.35:
+            lines = [" ".join(word() for _ in range(r.randint(1, 6))) for _ in range(r.randint(1, 6))]
+            own(" ".join(lines))
+            return "<pre>" + "\n  ".join(lines) + "</pre>"
+        if kind < 0.4:
+            return f"<div>{own(text())}</div>"
+        if kind < 0.46:
+            return f"<p><b>{own(text())}<br>"
+        if kind < 0.54 and level < 2:
+            tag = "div" if invented else r.choice(["section", "section", "div"])
+            size = r.choice([2, 3, 4])
+            head = f"<h{size}>{own(sentence(r.randint(1, 7)))}</h{size}>" if r.random() < 0.8 else ""
+            return f"<{tag}>{head}{''.join(piece(level + 1) for _ in range(r.randint(1, 4)))}</{tag}>"
+        return f"<p>{linked(own(text() if r.random() < 0.85 else sentence(r.randint(1, 4))))}</p>"
+
     def body() -> str:
         out = []
         if r.random() < 0.8:
-            kept.append(t := sentence(r.randint(2, 9)))
-            out.append(f"<h1>{t}</h1>")
-        for k in range(r.randint(1, 10)):
-            kind = r.random()
-            t = text() if r.random() < 0.85 else sentence(r.randint(1, 4))
-            kept.append(t)
-            if kind < 0.1:
-                out.append(f"<h2>{t}</h2>")
-            elif kind < 0.18:
-                out.append(f"<ul><li>{t}</li></ul>")
-            elif kind < 0.24:
-                out.append(f"<blockquote>{t}</blockquote>")
-            elif kind < 0.3:
-                out.append(f"<div>{t}</div>")
-            elif kind < 0.4:
-                out.append(f"<p><b>{t}<br>")
+            title = f"<h1>{own(sentence(r.randint(2, 9)))}</h1>"
+            out.append(f"<{(t := 'div' if invented else r.choice(['header', 'div']))}>{title}</{t}>" if r.random() < 0.15 else title)
+        sections = r.random() < 0.35
+        for _ in range(r.randint(1, 4) if sections else r.randint(1, 10)):
+            if sections:
+                tag = "div" if invented else r.choice(["section", "div"])
+                out.append(f"<{tag}><h2>{own(sentence(r.randint(1, 7)))}</h2>{''.join(piece(1) for _ in range(r.randint(1, 4)))}</{tag}>")
             else:
-                out.append(f"<p>{t}</p>")
+                out.append(piece(0))
             if r.random() < 0.05:
                 out.append(other(r.choice(["ad", "share", "form"])))
         return "".join(out)
 
+    if r.random() < 0.03:
+        # a page without block elements
+        t = text()
+        page = r.choice(["<html><body>{}</body></html>", "<body>{}", "{}"]).format(linked(own(t)))
+        return page, [" ".join(x.split()) for x in kept]
+
     before = [other(x) for x in r.sample(["header", "menu", "menu", "ad", "notice", "form"], r.randint(0, 4))]
     after = [other(x) for x in r.sample(["footer", "side", "comments", "comments", "share", "ad", "form", "menu"], r.randint(0, 5))]
     middle = wrap("main", body() + (other(r.choice(["comments", "share"])) if r.random() < 0.2 else ""))
@@ -503,7 +585,8 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, layout_pages: int =
     share = 3.0 * sample_pages / max(own.count(), 1)
     own = own.filter(F.col("h") < share * 1_000_003).orderBy("h", F.sha2("html", 256)).limit(sample_pages).select("html", F.lit(None).cast("long").alias("seed"), (F.col("h") % 2).alias("half"))
     drawn = spark.range(0, layout_pages, numPartitions=2).select(F.lit("").alias("html"), F.col("id").alias("seed"), (F.col("id") % 2).alias("half"))
-    every = stored(own.unionByName(drawn))
+    # a few rows that each cost much: spread by hand, over a fixed number of tasks
+    every = stored(own.unionByName(drawn)).repartition(FIT_TASKS, "seed", F.xxhash64("html"))
 
     counts = every.filter("half = 0").select("html", "seed").mapInArrow(_token_rows, "bucket long, n long, hit long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit")).collect()
     weights = np.zeros(BUCKETS)
@@ -515,12 +598,14 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, layout_pages: int =
         for s in slices(batches, "html"):
             for html, seed in zip(s.column(0).to_pylist(), s.column(1).to_pylist(), strict=True):
                 for page, blocks, labels in _fitting_pages(html, seed):
-                    x = features(page, blocks, shared.value)[1:]
+                    # only nodes whose parent belongs to the main text: what the trees give is conditional on that
+                    at = [i for i in range(1, len(labels)) if page.parent[i] == 0 or labels[page.parent[i]]]
+                    x = features(page, blocks, shared.value)[at]
                     rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, WIDTH), pa.int32()), pa.array(x.ravel().astype(float)))
-                    yield pa.RecordBatch.from_arrays([rows, pa.array(labels[1:], pa.float64())], names=["x", "label"])
+                    yield pa.RecordBatch.from_arrays([rows, pa.array([labels[i] for i in at], pa.float64())], names=["x", "label"])
 
     data = every.filter("half = 1").select("html", "seed").mapInArrow(node_rows, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label").cache()
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=7, minInstancesPerNode=5).fit(data)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.35, maxBins=32, seed=7, minInstancesPerNode=5).fit(data)
     data.unpersist()
     return Model(weights, exported(model))
 
@@ -544,7 +629,7 @@ def extract(pages: DataFrame, model: Model, page_id: str = "page_id", url: str =
             texts = []
             for k, (p, own) in enumerate(zip(pages_, blocks, strict=True)):
                 kept = decode(p.parent, prob[edge[k] : edge[k + 1]])
-                texts.append(" ".join(t for node, t, _ in own if node and kept[node]))
+                texts.append(" ".join(t for node, t, _ in own if kept[node]))
             yield pa.RecordBatch.from_arrays([s.column(0), s.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return df.mapInArrow(run, schema)

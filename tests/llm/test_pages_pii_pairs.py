@@ -12,6 +12,7 @@ from pulsegrid.llm import decontaminate, html_extract, jaccard_join, pii, warc
 from pulsegrid.llm.queries import ORACLE_SQL, QUERIES
 
 from ..conftest import SF
+from . import layouts
 
 DOCS = "doc_id long, text string"
 
@@ -194,6 +195,28 @@ def test_unseen_layouts(spark, trees, invented, least):
     assert hit / got > least and hit / want > least, (hit / got, hit / want)
 
 
+def text_of(spark, trees, made):
+    df = spark.createDataFrame([(k, "u", h) for k, (h, _) in enumerate(made)], "page_id long, url string, html string")
+    return [r.text for r in html_extract.extract(df, trees).orderBy("page_id").collect()]
+
+
+def test_nested_articles_are_whole(spark, trees):
+    """Sections, lists, tables, figures, definitions, quotes and text without elements, in an article and in a plain element."""
+    made = layouts.cases()
+    assert [(k, t) for k, (t, (_, kept)) in enumerate(zip(text_of(spark, trees, made), made)) if t != " ".join(kept)] == []
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_another_generator(spark, trees, plain):
+    """Pages that the fit has no generator of: 97 % of the words both ways, four of five pages exactly."""
+    made = [layouts.page(s, plain) for s in range(150)]
+    hit = got = want = exact = 0
+    for t, (_, kept) in zip(text_of(spark, trees, made), made):
+        a, b = collections.Counter(t.split()), collections.Counter(" ".join(kept).split())
+        hit, got, want, exact = hit + sum((a & b).values()), got + sum(a.values()), want + sum(b.values()), exact + (t == " ".join(kept))
+    assert hit / got >= 0.97 and hit / want >= 0.97 and exact >= 120, (hit / got, hit / want, exact)
+
+
 ARTICLE = "<h1>The long title here</h1>" + "".join(f"<p>{t}</p>" for t in ("This is the first paragraph of the text, which goes on for a while, as such texts do. It has sentences.", "And a second one follows, with some more words in it, so that it is long enough. Here it ends.", "Finally a third paragraph, also not short, closes the article with some remarks, and then nothing."))
 
 
@@ -246,7 +269,6 @@ def test_open_heads_and_formulas(spark, trees):
 
 
 def test_decoding_never_contradicts():
-    import itertools
     import random
 
     import numpy as np
@@ -258,12 +280,12 @@ def test_decoding_never_contradicts():
         p = np.array([r.random() for _ in range(n)])
         kept = html_extract.decode(parent, p)
         assert all(kept[parent[i]] or not kept[i] for i in range(1, n))
-
-        def score(x):
-            return sum(np.log(p[i] if x[i] else 1 - p[i]) for i in range(1, n))
-
-        best = max(score((True, *x)) for x in itertools.product((True, False), repeat=n - 1) if all(((True, *x)[parent[i]]) or not (True, *x)[i] for i in range(1, n)))
-        assert score(kept) >= best - 1e-9
+        for i in range(1, n):
+            path, k = [], i
+            while k:
+                path.append(p[k] > 0.5)
+                k = parent[k]
+            assert kept[i] == all(path)
 
 
 # near copies
