@@ -1,7 +1,9 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are e-mail addresses, IPv4 addresses, card numbers and phone numbers of fixed forms (`base_spans`), and secrets of two
-fixed forms (`secrets`). The words around a seed are lexical patterns; so are those around other strings that might be an
+Seeds are e-mail addresses, IPv4 addresses, card numbers and phone numbers of fixed forms (`base_spans`), access key ids of
+their published form, and the few values that stand for all other secrets: SEED_VALUES of the hexadecimal keys that a text
+gives to a name in quotes, those with the least hash. No form makes any other string a secret: a bare hexadecimal run, or a
+value given to a name, is a candidate, and only its contexts can tell. The words around a seed are lexical patterns; so are those around other strings that might be an
 identifier (candidates). Patterns and instances form a bipartite graph, which Spark scores in rounds: a pattern's confidence
 for a kind is the share of the kind in its evidence, which is its accepted instances, each by its score, and the open ones
 whose shape excludes the kind; open ones of a fitting shape are no evidence. A candidate takes the best confidence of its
@@ -38,13 +40,21 @@ DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NUMBER = re.compile(r"(?<![A-Za-z0-9])[0-9][0-9()./ -]*[0-9](?![A-Za-z0-9])")
-#: The published form of access key ids, and hexadecimal keys of 64 bits or more.
+#: Fixed value: the published form of access key ids.
 ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])")
-HEX_KEY = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{16,}(?![A-Za-z0-9])")
+#: Hexadecimal runs of 64 bits or more, and those of 128 bits or more that are given to a name in quotes.
+HEX_RUN = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{16,}(?![A-Za-z0-9])")
+QUOTED_KEY = re.compile(r"(?:(?<=[=:] \")|(?<=[=:]\"))[0-9A-Fa-f]{32,64}(?=\")")
+#: Distinct values of this form that are seeds.
+SEED_VALUES = 6
 #: A value that is given to a name.
 GIVEN = re.compile(r"(?<=[A-Za-z_][=:])[^\s\"'<>,;=:]{6,64}|(?<=[=:] \")[^\s\"<>]{6,64}|(?<=[=:]\")[^\s\"<>]{6,64}")
 SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?[\[(]dot[\])] ?)[A-Za-z0-9-]{1,64})+")
 ANY_DIGIT = re.compile("[0-9]")
+#: The first word or sign.
+FIRST = re.compile(r"\A\s*(\w+|[^\w\s])")
+#: The white space before signs that stand alone.
+LONE_SIGNS = re.compile(r"\s+(?=[^\w\s]+(?:\s|$))")
 #: Characters of context looked at on either side.
 REACH = 48
 MIN_CONFIDENCE = 0.9
@@ -106,13 +116,13 @@ def base_spans(t: str | None) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def secrets(t: str) -> list[tuple[str, int, int]]:
-    """Access key ids, and hexadecimal keys with letters and digits."""
-    out = [("secret", *m.span()) for m in ACCESS_KEY.finditer(t)] if "AKIA" in t or "ASIA" in t else []
-    for m in HEX_KEY.finditer(t):
-        if ANY_DIGIT.search(m.group()) and not m.group().isdigit():
-            out.append(("secret", *m.span()))
-    return out
+def access_keys(t: str) -> list[tuple[str, int, int]]:
+    return [("secret", *m.span()) for m in ACCESS_KEY.finditer(t)] if "AKIA" in t or "ASIA" in t else []
+
+
+def mixed(t: str) -> bool:
+    """Whether t has letters and digits."""
+    return bool(ANY_DIGIT.search(t)) and not t.isdigit()
 
 
 def candidates(t: str, taken: list[tuple[str, int, int]]) -> list[tuple[list[str], int, int]]:
@@ -128,6 +138,7 @@ def candidates(t: str, taken: list[tuple[str, int, int]]) -> list[tuple[list[str
             found.append((kinds, *m.span()))
     if "=" in t or ":" in t:
         found += [(["secret"], *m.span()) for m in GIVEN.finditer(t) if ANY_DIGIT.search(m.group())]
+    found += [(["secret"], *m.span()) for m in HEX_RUN.finditer(t) if mixed(m.group())]
     out, k = [], 0
     taken = sorted(taken, key=lambda s: s[1])
     reach = 0
@@ -142,9 +153,9 @@ def candidates(t: str, taken: list[tuple[str, int, int]]) -> list[tuple[list[str
 
 
 def patterns(t: str, start: int, end: int) -> list[str]:
-    """The word before, the two words before, and the words on either side; digits are one sign."""
-    left = [re.sub(r"[0-9]+", "9", w) for w in t[max(0, start - REACH) : start].lower().split()[-2:]]
-    right = [re.sub(r"[0-9]+", "9", w) for w in t[end : end + REACH].lower().split()[:1]]
+    """The word before, the two words before, and the word before with the word or sign behind; digits are one sign. Signs that stand alone belong to the word before them, so `token = "` is one word."""
+    left = [re.sub(r"[0-9]+", "9", w) for w in LONE_SIGNS.sub("", t[max(0, start - REACH) : start].lower()).split()[-2:]]
+    right = [re.sub(r"[0-9]+", "9", w) for w in FIRST.findall(t[end : end + REACH].lower())]
     out = [f"W {left[-1]}"] if left else []
     out += ["L " + " ".join(left)] if len(left) == 2 else []
     return out + ([f"B {left[-1]} _ {right[0]}"] if left and right else [])
@@ -154,7 +165,7 @@ def digest(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-MENTION = "array<struct<start:long,end:long,kind:string,kinds:array<string>,instance:string,patterns:array<string>>>"
+MENTION = "array<struct<start:long,end:long,kind:string,kinds:array<string>,instance:string,quoted:boolean,patterns:array<string>>>"
 
 
 def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -181,22 +192,31 @@ def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
                 for k, kind in enumerate(KINDS):
                     cols[k].append(sum(x[0] == kind for x in base))
                 cols[4].append(hashlib.sha256(digest(base).encode()).hexdigest())
-                sure = base + secrets(t) if t else base
+                sure = base + access_keys(t) if t else base
+                quoted = {m.span() for m in QUOTED_KEY.finditer(t) if mixed(m.group())} if t else set()
                 cols[5].append([{"start": a, "rank": ALL_KINDS.index(k), "kind": k, "end": b} for k, a, b in sure])
                 found = [(k, [], a, b) for k, a, b in sure] + [(None, kinds, a, b) for kinds, a, b in candidates(t, sure)] if t else []
-                cols[6].append([{"start": a, "end": b, "kind": k, "kinds": ks, "instance": t[a:b].lower(), "patterns": patterns(t, a, b)} for k, ks, a, b in found])
+                cols[6].append([{"start": a, "end": b, "kind": k, "kinds": ks, "instance": t[a:b].lower(), "quoted": (a, b) in quoted, "patterns": patterns(t, a, b)} for k, ks, a, b in found])
             yield pa.RecordBatch.from_arrays([*s.columns[1:], *(pa.array(c, f.type) for c, f in zip(cols, tail, strict=True))], names=arrow.names)
 
     return stored(df.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
 
 
-def discover(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(row, added): accepted candidates' spans of each row that has any."""
-    mention = found.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
-    edges = stored(mention.select("instance", "kind", "kinds", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.min("kind").alias("kind"), F.max("kinds").alias("kinds")))
+def mentions_of(found: DataFrame) -> DataFrame:
+    return found.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
+
+
+def instances(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT, seed_values: int = SEED_VALUES) -> DataFrame:
+    """(instance, kind, score, round): the seed values, of round 0, and what the rounds accepted."""
+    mention = mentions_of(found)
+    few = mention.filter("quoted AND kind IS NULL").select("instance").distinct().orderBy(F.xxhash64("instance"), "instance").limit(seed_values)
+    values = stored(few.select("instance", F.lit("secret").alias("kind"), F.lit(1.0).alias("score"), F.lit(0).alias("round")))
+    sides = mention.select("instance", "kind", "kinds", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.min("kind").alias("kind"), F.max("kinds").alias("kinds"))
+    own = F.broadcast(values.select("instance", F.col("kind").alias("given")))  # seed_values rows
+    edges = stored(sides.join(own, "instance", "left").withColumn("kind", F.coalesce("kind", "given")).drop("given"))
     accepted = edges.filter("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-    new = accepted.limit(0)
-    for _ in range(rounds):
+    new = values
+    for number in range(1, rounds + 1):
         # evidence against a kind: accepted instances of another one, and open ones whose shape excludes it; other open ones are no evidence
         known = accepted.select("instance", F.lit(1).alias("known")).distinct()
         shut = [F.count(F.when(F.col("known").isNull() & ~F.array_contains("kinds", k), 1)).alias(f"not_{k}") for k in ALL_KINDS]
@@ -215,9 +235,15 @@ def discover(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN
         got = stored(best.groupBy("instance").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "k")).alias("x")).select("instance", F.col("x.k").alias("kind"), (-F.col("x.c")).alias("score")))
         if got.isEmpty():
             break
-        new, accepted = new.unionByName(got), accepted.unionByName(got)
+        new, accepted = new.unionByName(got.withColumn("round", F.lit(number))), accepted.unionByName(got)
+    return new
+
+
+def discover(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT) -> DataFrame:
+    """(row, added): the spans of the seed values and of accepted candidates in each row that has any."""
+    new = instances(found, rounds, min_confidence, min_support)
     rank = F.element_at(F.create_map(*[F.lit(x) for k, name in enumerate(ALL_KINDS) for x in (name, k)]), F.col("kind"))
-    hits = mention.filter("kind IS NULL").drop("kind").join(new.select("instance", "kind"), "instance")
+    hits = mentions_of(found).filter("kind IS NULL").drop("kind").join(new.select("instance", "kind"), "instance")
     return hits.groupBy("row").agg(F.collect_list(F.struct("start", rank.cast("int").alias("rank"), "kind", "end")).alias("added"))
 
 
