@@ -586,7 +586,7 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, layout_pages: int =
     own = own.filter(F.col("h") < share * 1_000_003).orderBy("h", F.sha2("html", 256)).limit(sample_pages).select("html", F.lit(None).cast("long").alias("seed"), (F.col("h") % 2).alias("half"))
     drawn = spark.range(0, layout_pages, numPartitions=2).select(F.lit("").alias("html"), F.col("id").alias("seed"), (F.col("id") % 2).alias("half"))
     # a few rows that each cost much: spread by hand, over a fixed number of tasks
-    every = stored(own.unionByName(drawn)).repartition(FIT_TASKS, "seed", F.xxhash64("html"))
+    every = stored(own.unionByName(drawn)).repartition(FIT_TASKS)
 
     counts = every.filter("half = 0").select("html", "seed").mapInArrow(_token_rows, "bucket long, n long, hit long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit")).collect()
     weights = np.zeros(BUCKETS)
