@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -63,26 +63,62 @@ def pharmacy_links(fills: DataFrame, prescriptions: DataFrame, days: int = 7) ->
     return proximity_join(fills, prescriptions, ["prescriber", "drug"], "date", days).select("pharmacy_patient_id", F.col("patient_id_b").alias("patient_id")).distinct()
 
 
+def _segment(size: Column, i: Column, parts: Column) -> tuple[Column, Column]:
+    """Where the i-th of so many nearly equal parts of a string begins, and its length."""
+    start, end = F.floor(i * size / parts).cast("int"), F.floor((i + 1) * size / parts).cast("int")
+    return start, end - start
+
+
+def name_candidates(a: DataFrame, b: DataFrame, block: list[str], least: float = 0.6) -> DataFrame:
+    """(block, _x, _y): pairs of names of a block of which at least one part agrees; a and b have the block and a distinct `_name` each.
+
+    Of a pair whose similarity is at least `least`, the longer name of L characters allows t = (1 - least) * L edits. Cut into
+    t + 1 parts, the shorter one has a part that no edit touches, so the longer one has it too, at most t places away. Each
+    name is listed by its parts for the lengths that its partners can have, and looked up by its substrings: a pair meets
+    only on a shared one. Both are bounded by the names' lengths.
+    """
+    edits = lambda size: F.floor((1 - least) * size + 1e-9).cast("int")
+
+    def listed(df: DataFrame, name: str, longer: int) -> DataFrame:
+        """Names as the shorter side: by their own length, the partner's, and each part."""
+        df = df.select(*block, F.col("_name").alias(name), F.length("_name").alias("_l")).withColumn("_L", F.explode(F.sequence(F.col("_l") + longer, F.greatest(F.floor(F.col("_l") / least + 1e-9).cast("int"), F.col("_l") + longer))))
+        df = df.filter(F.col("_l") >= least * F.col("_L") - 1e-9).withColumn("_i", F.explode(F.sequence(F.lit(0), edits(F.col("_L")))))
+        start, size = _segment(F.col("_l"), F.col("_i"), edits(F.col("_L")) + 1)
+        return df.select(*block, name, "_l", "_L", "_i", F.substring(name, start + 1, size).alias("_part"))
+
+    def looked_up(df: DataFrame, name: str) -> DataFrame:
+        """Names as the longer side: the substrings that can be a part of a partner of each length."""
+        df = df.select(*block, F.col("_name").alias(name), F.length("_name").alias("_L")).withColumn("_l", F.explode(F.sequence(F.ceil(least * F.col("_L") - 1e-9).cast("int"), F.col("_L"))))
+        df = df.withColumn("_i", F.explode(F.sequence(F.lit(0), edits(F.col("_L")))))
+        start, size = _segment(F.col("_l"), F.col("_i"), edits(F.col("_L")) + 1)
+        low, high = F.greatest(F.lit(0), start - edits(F.col("_L"))), F.least(F.col("_L") - size, start + edits(F.col("_L")))
+        at = F.when(low <= high, F.sequence(low, high))
+        return df.withColumn("_size", size).withColumn("_at", F.explode(at)).select(*block, name, "_l", "_L", "_i", F.substring(name, F.col("_at") + 1, F.col("_size")).alias("_part")).distinct()
+
+    on = [*block, "_l", "_L", "_i", "_part"]
+    first = listed(a, "_x", 0).join(looked_up(b, "_y"), on)
+    second = listed(b, "_y", 1).join(looked_up(a, "_x"), on)
+    return first.select(*block, "_x", "_y").unionByName(second.select(*block, "_x", "_y")).distinct()
+
+
 def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least: float = 0.6, before: str | None = None) -> DataFrame:
     """Pairs of a block whose names' edit similarity is at least `least`; confidence runs from 0.6 to 0.9 with it.
 
-    Names whose lengths differ by more than the similarity allows never meet: names stand in classes of length, each 1 / least
-    times as long as the one before, and only neighbouring classes are joined. With `before`, a column of both sides, a pair
-    of one table comes once, the side with the lesser value first.
+    Names are compared once however many rows of a block have them, and only with those that `name_candidates` gives. With
+    `before`, a column of both sides, a pair of one table comes once, the side with the lesser value first. Rows without a
+    name, or with a null in the block, have no links.
     """
-    b = b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns])
-    x, y = F.lower(F.trim(name)), F.lower(F.trim(f"{name}_b"))
-    size = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1))) / -math.log(least) + 1e-9)
-    a = a.withColumn("_k", size(x))
-    b = b.withColumn("_kb", F.explode(F.array(*[size(y) + i for i in (-1, 0, 1)])))
-    longer = F.greatest(F.length(x), F.length(y), F.lit(1))
-    on = (F.col("_k") == F.col("_kb")) & (F.abs(F.length(x) - F.length(y)) <= (1 - least) * longer + 1e-9)
-    for k in block:
-        on = on & (F.col(k) == F.col(f"{k}_b"))
+    key = lambda c: F.lower(F.trim(c))
+    each = lambda df: df.select(*block, key(name).alias("_name")).filter("_name IS NOT NULL").distinct()
+    pairs = name_candidates(each(a), each(b), block, least)
+    longer = F.greatest(F.length("_x"), F.length("_y"), F.lit(1))
+    pairs = pairs.withColumn("similarity", 1 - F.levenshtein("_x", "_y") / longer).filter(F.col("similarity") >= least)
+    other = b.withColumn("_y", key(name)).select("_y", *[F.col(c).alias(f"{c}_b") for c in b.columns])
+    same = [F.col(f"p.{k}") == F.col(f"{k}_b") for k in block]
+    df = a.withColumn("_x", key(name)).join(pairs, [*block, "_x"]).alias("p").join(other, reduce(Column.__and__, [*same, F.col("p._y") == other["_y"]]))
     if before:
-        on = on & (F.col(before) < F.col(f"{before}_b"))
-    similarity = 1 - F.levenshtein(x, y) / longer
-    return a.join(b, on).drop("_k", "_kb").withColumn("similarity", similarity).filter(F.col("similarity") >= least).withColumn("confidence", 0.6 + 0.3 * (F.col("similarity") - least) / (1 - least))
+        df = df.filter(F.col(before) < F.col(f"{before}_b"))
+    return df.select(*[F.col(f"p.{c}") for c in a.columns], *[f"{c}_b" for c in b.columns], F.col("p.similarity"), (0.6 + 0.3 * (F.col("p.similarity") - least) / (1 - least)).alias("confidence"))
 
 
 #: Edges of which a task finds the parts at once.

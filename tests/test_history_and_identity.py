@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -91,6 +92,39 @@ def test_components(spark, edges):
     assert got == label
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j] + 1, row[j + 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("least", [0.6, 0.8, 0.5])
+def test_fuzzy_links_lose_no_pair(spark, least):
+    import random
+
+    r = random.Random(7)
+    names = ["", "a", "b", "ab", None] + ["".join(r.choice("abc") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    names += ["".join(r.choice("abcdefgh") if r.random() < 0.2 else c for c in "some longer name") for _ in range(20)]
+    rows = [(k, n, k % 2) for k, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "k int, name string, g int")
+    same = lambda x, y: 1 - edits(x, y) / max(len(x), len(y), 1) >= least
+    want = sorted((i, j) for i, x, g in rows for j, y, h in rows if g == h and i < j and x is not None and y is not None and same(x, y))
+    got = identity.fuzzy_links(df, df, ["g"], "name", least, "k")
+    assert sorted((x.k, x.k_b) for x in got.collect()) == want and got.columns == ["k", "name", "g", "k_b", "name_b", "g_b", "similarity", "confidence"]
+
+
+def test_candidates_do_not_grow_with_copies(spark):
+    df = spark.createDataFrame([(f"name {k % 30} of {k % 7}", k % 3) for k in range(200)], "_name string, g int")
+    n = identity.name_candidates(df.distinct(), df.distinct(), ["g"]).count()
+    names = df.distinct().groupBy("g").count().agg({"count": "max"}).first()[0]
+    assert n < 3 * names * names
+    many = df.unionByName(df).unionByName(df)
+    assert identity.name_candidates(many.distinct(), many.distinct(), ["g"]).count() == n
+
+
 def test_fuzzy(spark):
     a = spark.createDataFrame([("Jon Smith", 1980, "1"), ("Ann Lee", 1980, "1")], "name string, y int, zip string")
     b = spark.createDataFrame([("John Smith", 1980, "1"), ("Jon Smith", 1981, "1")], "name string, y int, zip string")
