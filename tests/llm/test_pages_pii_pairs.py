@@ -499,6 +499,36 @@ def test_phrases_and_proximity_equal_brute_force(spark):
         decontaminate.windows(b, 63)
 
 
+def test_an_index_answers_other_benchmarks_without_the_texts(spark, folder):
+    import shutil
+
+    r = __import__("random").Random(2)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(2))
+    docs = [(k, " ".join(word() for _ in range(60))) for k in range(40)]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{folder}/docs")
+    postings = decontaminate.index(decontaminate.id_and_text(spark.read.parquet(f"{folder}/docs")))
+    shutil.rmtree(f"{folder}/docs")
+    for start in (0, 7):
+        bench = [(k, " ".join(t.split()[start : start + 20])) for k, t in docs[start::5]] + [(99, "zz zz")]
+        got = decontaminate.contamination_of(postings, spark.createDataFrame(bench, "item_id long, text string"))
+        assert rows(got.drop("text_hash", "text_size", "n_near")) == sorted(brute_hits(docs, bench), key=str)
+
+
+def test_rarest_terms_are_asked_for_by_folder_and_list(spark):
+    import contextlib
+
+    df = spark.createDataFrame([(k, f"common word{k % 50} rare{k}") for k in range(300)], DOCS)
+    postings = decontaminate.index(decontaminate.id_and_text(df))
+    assert spark.read.parquet(postings.inputFiles()[0].rsplit("/", 2)[0]).select("part").distinct().count() == decontaminate.PARTS + 1
+    terms = spark.createDataFrame([("rare7",), ("rare8",)], "w string").select(decontaminate.term_of("w").alias("term"))
+    found, out = decontaminate.within(decontaminate.lists_of(postings), terms), io.StringIO()
+    with contextlib.redirect_stdout(out):
+        found.explain("formatted")
+    plan = out.getvalue()
+    assert re.search(r"PartitionFilters: \[.*part#\d+L? (IN|=|INSET) ", plan) and re.search(r"PushedFilters: \[.*In\(term", plan), plan
+    assert found.count() == 2
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_duckdb(spark, name):
     import duckdb
