@@ -113,6 +113,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, rank: in
     return Model(idf, axes, np.ascontiguousarray(_unit(x @ axes).T), np.array([r[1] for r in rows], np.float32))
 
 
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """The places of the k largest in each row; of equal ones at the edge the first."""
+    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+    edge = np.take_along_axis(cosine, near, 1).min(1)
+    for row in np.flatnonzero((cosine >= edge[:, None]).sum(1) > k):
+        near[row] = np.argsort(-cosine[row], kind="stable")[:k]
+    return near
+
+
 def score(docs: DataFrame, model: Model | None, neighbours: int = NEIGHBOURS, cut: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
     spark = docs.sparkSession
@@ -127,8 +136,7 @@ def score(docs: DataFrame, model: Model | None, neighbours: int = NEIGHBOURS, cu
             for first in range(0, s.num_rows if m is not None else 0, BLOCK):
                 part = s.slice(first, BLOCK)
                 cosine = _unit(weighted(term_counts(part.column(1)), m.idf) @ m.axes) @ m.vectors
-                k = min(neighbours, cosine.shape[1])
-                near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+                near = nearest(cosine, min(neighbours, cosine.shape[1]))
                 vote = np.maximum(np.take_along_axis(cosine, near, 1), 0) ** SHARPNESS + 1e-12
                 out[first : first + part.num_rows] = (vote * m.labels[near]).sum(1) / vote.sum(1)
             out[np.diff(off) == 0] = 0

@@ -281,3 +281,15 @@ def test_registered_query_covers_its_table(spark, name):
     got = [x[0] for x in df.select(key).collect()]
     assert set(got) == want
     assert len(got) == len(want) or name in ("op2_token_counts", "op5_best_fit_packing")
+
+
+def test_ties_between_neighbours_go_to_the_first():
+    import numpy as np
+
+    from pulsegrid.llm.quality_knn import nearest
+
+    rng = np.random.default_rng(4)
+    cosine = rng.integers(0, 4, (50, 80)).astype(np.float32)
+    cosine[0] = 1
+    for row, got in zip(cosine, nearest(cosine, 15)):
+        assert sorted(got) == sorted(np.argsort(-row, kind="stable")[:15])
