@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm import code_compression, odd_sketch, whitening
 from pulsegrid.llm.common import table
-from pulsegrid.llm.queries import QUERIES
 
 from ..conftest import SF
 
@@ -65,8 +64,8 @@ def brute_whitening(rows, k=4):
     return n, [[int(t) for t in ((n * r - s) ** 2).sum(keepdims=True)][0] for r in x], (x - s / n) @ w / np.sqrt(e), e / np.trace(v)
 
 
-def test_whitening_equals_brute_force(spark):
-    got = QUERIES["op11_embedding_whitening"](spark, SF).collect()
+def test_whitening_equals_brute_force(spark, results):
+    _, got = results("op11_embedding_whitening")
     rows = [(r.vec_id, r.embedding) for r in table(spark, SF, "embeddings").collect()]
     n, far, white, explained = brute_whitening(rows)
     at = {i: k for k, (i, _) in enumerate(rows)}
