@@ -406,10 +406,10 @@ def k4_bridge_merge(spark: SparkSession, sf: str) -> DataFrame:
     return identity.merge_bridge(old, new).select("identifier_value", "link_status", day("first_seen"), day("last_seen"))
 
 
-@query("SELECT DISTINCT 'PH' || a.o_orderkey AS pharmacy_patient_id, 'MRN' || b.o_custkey AS patient_id FROM orders a JOIN orders b ON a.o_custkey % 50 = b.o_custkey % 50 AND a.o_orderpriority = b.o_orderpriority AND abs(date_diff('day', CAST(a.o_orderdate AS DATE), CAST(b.o_orderdate AS DATE))) <= 7")
+@query("SELECT DISTINCT 'PH' || a.o_orderkey AS pharmacy_patient_id, 'MRN' || b.o_custkey AS patient_id FROM orders a JOIN orders b ON a.o_custkey // 30 = b.o_custkey // 30 AND a.o_orderpriority = b.o_orderpriority AND abs(date_diff('day', CAST(a.o_orderdate AS DATE), CAST(b.o_orderdate AS DATE))) <= 7")
 def l6_pharmacy_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Every order is a fill."""
-    o = A.load(spark, sf, "orders").select(F.concat(F.lit("PH"), F.col("o_orderkey")).alias("pharmacy_patient_id"), F.concat(F.lit("MRN"), F.col("o_custkey")).alias("patient_id"), (F.col("o_custkey") % 50).alias("prescriber"), F.col("o_orderpriority").alias("drug"), F.to_date("o_orderdate").alias("date"))
+    """Every order is a fill. Thirty neighbouring customers share a prescriber, so that prescribers grow with the table and links in proportion."""
+    o = A.load(spark, sf, "orders").select(F.concat(F.lit("PH"), F.col("o_orderkey")).alias("pharmacy_patient_id"), F.concat(F.lit("MRN"), F.col("o_custkey")).alias("patient_id"), F.floor(F.col("o_custkey") / 30).alias("prescriber"), F.col("o_orderpriority").alias("drug"), F.to_date("o_orderdate").alias("date"))
     return identity.pharmacy_links(o.drop("patient_id"), o.drop("pharmacy_patient_id"))
 
 
