@@ -19,12 +19,12 @@ BITS = 6
 FOOTERS_ONLY = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text"}
 
 
-def _class_of(value: Column, cuts: list[float]) -> Column:
-    """How many of the cuts the value has reached; 0 for a null."""
+def _class_of(value: Column, cuts: list[float], bits: int) -> Column:
+    """How many of the cuts the value has reached, stretched to the whole range of the bits, so that a key of few values weighs as much as another; 0 for a null."""
     if not cuts:
         return F.lit(0).cast("long")
-    reached = F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= value)
-    return F.coalesce(F.when(value.isNotNull(), F.size(reached)), F.lit(0)).cast("long")
+    reached = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= value))
+    return F.coalesce(F.when(value.isNotNull(), F.floor(reached * (1 << bits) / (len(cuts) + 1))), F.lit(0)).cast("long")
 
 
 def z_value(df: DataFrame, keys: list[str], bits: int = BITS) -> Column:
@@ -32,7 +32,7 @@ def z_value(df: DataFrame, keys: list[str], bits: int = BITS) -> Column:
     cuts = df.select(*[F.col(k).cast("double").alias(k) for k in keys]).approxQuantile(keys, [i / (1 << bits) for i in range(1, 1 << bits)], 1 / (1 << bits + 2))
     z = F.lit(0).cast("long")
     for at, (key, own) in enumerate(zip(keys, cuts, strict=True)):
-        rank = _class_of(F.col(key).cast("double"), sorted(set(own)))
+        rank = _class_of(F.col(key).cast("double"), sorted(set(own)), bits)
         for b in range(bits):
             bit = F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("long"))
             z = z.bitwiseOR(F.shiftleft(bit, b * len(keys) + at))
