@@ -77,13 +77,18 @@ def part_of(term: Column | str) -> Column:
 
 def index(docs: DataFrame) -> DataFrame:
     """The stored postings (part, term, row, position) of docs (doc_id, text); those of the part END also have doc_id, text_hash and text_size, and the row's number of words as position."""
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), words(ascii_lower(F.col("text"))).alias("words"), F.monotonically_increasing_id().alias("row"))
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("text_size"), words("text").alias("words"), F.monotonically_increasing_id().alias("row"))
     each = base.select("row", *KEY, F.posexplode(F.concat("words", F.array(F.lit("")))).alias("position", "word"))
+    # lower() also changes letters beyond A-Z, so it serves only words that have none
+    plain = F.octet_length("word") == F.length("word")
+    each = each.withColumn("word", F.when(plain, F.lower("word")).otherwise(ascii_lower(F.col("word"))))
     end = F.col("word") == ""
     own = [F.when(end, F.col(c)).alias(c) for c in KEY]
     found = each.select(F.when(end, END).otherwise(part_of(term_of("word"))).alias("part"), term_of("word").alias("term"), "row", "position", *own)
     path = work_dir(docs.sparkSession)
-    found.sortWithinPartitions("part", "term").write.partitionBy("part").parquet(path)
+    # a range's writer stays open for the next of its rows, so the rows need no other order than the terms'
+    with settings(docs.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(PARTS + 1)}):
+        found.sortWithinPartitions("term").write.partitionBy("part").parquet(path)
     return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
