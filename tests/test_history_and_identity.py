@@ -142,8 +142,39 @@ def test_pharmacy_links_take_every_order_as_a_fill(spark):
     orders = [(r.o_orderkey, r.o_custkey, r.o_orderpriority, r.o_orderdate.toordinal()) for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("o_orderdate")).collect()]
     by = defaultdict(list)
     for _, c, p, d in orders:
-        by[c // 30, p].append((c, d))
-    want = {(f"PH{k}", f"MRN{c}") for k, own, p, at in orders for c, d in by[own // 30, p] if abs(at - d) <= 7}
+        by[c % 50, p].append((c, d))
+    want = {(f"PH{k}", f"MRN{c}") for k, own, p, at in orders for c, d in by[own % 50, p] if abs(at - d) <= 7}
     got = [tuple(r) for r in QUERIES["l6_pharmacy_links"](spark, SF).collect()]
     assert set(got) == want and len(got) == len(want)
     assert {k for k, _ in got} == {f"PH{r[0]}" for r in orders}
+
+
+def test_pharmacy_links_of_distant_customers(spark, folder):
+    """Customers 7, 57 and 15007 share a prescriber, 7 and 8 do not."""
+    import duckdb
+
+    from pulsegrid.plans.queries import ORACLE_SQL, QUERIES
+
+    orders = [(k, c, "1-URGENT", date(2024, 1, d)) for k, c, d in ((1, 7, 1), (2, 57, 8), (3, 15007, 9), (4, 8, 1))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate date").write.parquet(f"{folder}/orders.parquet")
+    want = {(1, 7), (1, 57), (2, 7), (2, 57), (2, 15007), (3, 57), (3, 15007), (4, 8)}
+    got = [tuple(r) for r in QUERIES["l6_pharmacy_links"](spark, folder).collect()]
+    assert sorted(got) == sorted((f"PH{k}", f"MRN{c}") for k, c in want)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW orders AS SELECT * FROM '{folder}/orders.parquet/*.parquet'")
+    assert sorted(duck.execute(ORACLE_SQL["l6_pharmacy_links"]).fetchall()) == sorted(got)
+
+
+DAY = st.none() | st.integers(1, 28).map(lambda d: date(2024, 1, d))
+SEEN = st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from([1, 2, None]), st.sampled_from(["x", "y", None]), DAY)
+
+
+@FEW
+@given(st.lists(SEEN, max_size=25), st.lists(SEEN, max_size=25), st.sampled_from([0, 2, 7]))
+def test_pharmacy_links_equal_brute_force(spark, fills, prescriptions, days):
+    """Copies, nulls, identifiers with several fills, patients with several prescriptions within the days."""
+    fills, prescriptions = fills + fills[:3], prescriptions + prescriptions[:3]
+    schema = "{} string, prescriber int, drug string, date date"
+    f, p = spark.createDataFrame(fills, schema.format("pharmacy_patient_id")), spark.createDataFrame(prescriptions, schema.format("patient_id"))
+    got = rows(identity.pharmacy_links(f, p, days))
+    assert got == sorted({(a, b) for a, *x, d in fills for b, *y, e in prescriptions if x == y and None not in (*x, d, e) and abs((d - e).days) <= days}, key=str)
