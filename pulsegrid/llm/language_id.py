@@ -75,6 +75,12 @@ def presence_rows(sample: DataFrame) -> DataFrame:
     return sample.select("text", "label").mapInArrow(run, "label string, bits binary")
 
 
+def unit_rows(bits: list[bytes]) -> np.ndarray:
+    """Packed presences as rows of length 1: 64 KB each, so few at a time."""
+    x = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8)).reshape(len(bits), SLOTS).astype(np.float32)
+    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, ridge: float = 1e-2) -> Model | None:
     """Learns from the rows of docs whose fold is not 0. At most per_language rows of 2 KB come to the driver for each language."""
     small_batches(docs.sparkSession)
@@ -83,18 +89,15 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     if not rows:
         return None
     names = sorted({r[0] for r in rows})
-    x = np.stack([np.unpackbits(np.frombuffer(r[1], np.uint8)) for r in rows]).astype(np.float32)
-    x = x[:, :SLOTS]
-    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
     y = np.array([[1.0 if r[0] == name else -1.0 for name in names] for r in rows])
     share = max(1, landmarks // len(names))
     chosen = np.concatenate([np.flatnonzero(y[:, k] > 0)[np.linspace(0, (y[:, k] > 0).sum() - 1, min(share, int((y[:, k] > 0).sum()))).astype(int)] for k in range(len(names))])
-    land = x[chosen]
+    land = unit_rows([rows[i][1] for i in chosen])
     values, vectors = np.linalg.eigh((land @ land.T).astype(float))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ land.T) @ root
-    w = np.linalg.solve(phi.T @ phi + ridge * len(x) / 100 * np.eye(phi.shape[1]), phi.T @ y)
+    phi = np.concatenate([unit_rows([r[1] for r in rows[i : i + BLOCK]]) @ land.T for i in range(0, len(rows), BLOCK)]) @ root
+    w = np.linalg.solve(phi.T @ phi + ridge * len(rows) / 100 * np.eye(phi.shape[1]), phi.T @ y)
     return Model(names, np.ascontiguousarray(land.T), (root @ w).astype(np.float32))
 
 

@@ -140,6 +140,24 @@ def test_graph_scores_equal_brute_force(spark):
     assert {n for _, _, n in got.values()} >= {0, 1} and any(k == "phone" for k, _, _ in got.values())
 
 
+def test_no_plan_of_the_bootstrap_holds_a_round(spark, monkeypatch):
+    """The driver holds a plan, its stages' updates and its broadcasts while it runs; a round is several small ones, and a later round's are no larger."""
+    words = ["token", "secret", "key", "pass"]
+    texts = [f'we set {words[k % 4]} = "{hashlib.sha256(str(k).encode()).hexdigest()[:38]}a1" there' for k in range(60)]
+    texts += [f"mobile no: +1 (269) 555-{1000 + k} of him" for k in range(20)] + [f"mobile no: 269-555-{2000 + k} of him" for k in range(20)]
+    found = pii.extract(spark.createDataFrame(list(enumerate(texts)), DOCS))
+    exchanges, stored = [], pii.stored
+
+    def seen(df):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return stored(df)
+
+    monkeypatch.setattr(pii, "stored", seen)
+    got = pii.instances(found).collect()
+    assert {r.round for r in got} >= {0, 1} and {r.kind for r in got} == {"secret", "phone"}
+    assert max(exchanges) <= 6, exchanges
+
+
 def test_contexts_find_secrets(spark):
     """Few values are seeds; the others are found by their contexts, and commit ids in prose are none."""
     import random
