@@ -87,7 +87,8 @@ def name_candidates(a: DataFrame, b: DataFrame, block: list[str], least: float =
     Of a pair whose similarity is at least `least`, the longer name of L characters allows t = (1 - least) * L edits. Cut into
     t + 1 parts, the shorter one has a part that no edit touches, so the longer one has it too, at most t places away. Each
     name is listed by its parts for the lengths that its partners can have, and looked up by its substrings: a pair meets
-    only on a shared one. Both are bounded by the names' lengths.
+    only on a shared one. Both are bounded by the names' lengths. The optimizer takes them for as small as the names, so the
+    joins are told not to broadcast them.
     """
     edits = lambda size: F.floor((1 - least) * size + 1e-9).cast("int")
 
@@ -108,8 +109,8 @@ def name_candidates(a: DataFrame, b: DataFrame, block: list[str], least: float =
         return df.withColumn("_size", size).withColumn("_at", F.explode(at)).select(*block, name, "_l", "_L", "_i", F.substring(name, F.col("_at") + 1, F.col("_size")).alias("_part")).distinct()
 
     on = [*block, "_l", "_L", "_i", "_part"]
-    first = listed(a, "_x", 0).join(looked_up(b, "_y"), on)
-    second = listed(b, "_y", 1).join(looked_up(a, "_x"), on)
+    first = listed(a, "_x", 0).hint("merge").join(looked_up(b, "_y"), on)
+    second = listed(b, "_y", 1).hint("merge").join(looked_up(a, "_x"), on)
     return first.select(*block, "_x", "_y").unionByName(second.select(*block, "_x", "_y")).distinct()
 
 
@@ -118,7 +119,7 @@ def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least:
 
     Names are compared once however many rows of a block have them, and only with those that `name_candidates` gives. With
     `before`, a column of both sides, a pair of one table comes once, the side with the lesser value first. Rows without a
-    name, or with a null in the block, have no links.
+    name, or with a null in the block, have no links. No side is broadcast: few names make small files of many rows.
     """
     key = lambda c: F.lower(F.trim(c))
     each = lambda df: df.select(*block, key(name).alias("_name")).filter("_name IS NOT NULL").distinct()
@@ -127,7 +128,7 @@ def fuzzy_links(a: DataFrame, b: DataFrame, block: list[str], name: str, least:
     pairs = pairs.withColumn("similarity", 1 - F.levenshtein("_x", "_y") / longer).filter(F.col("similarity") >= least)
     other = b.withColumn("_y", key(name)).select("_y", *[F.col(c).alias(f"{c}_b") for c in b.columns])
     same = [F.col(f"p.{k}") == F.col(f"{k}_b") for k in block]
-    df = a.withColumn("_x", key(name)).join(pairs, [*block, "_x"]).alias("p").join(other, reduce(Column.__and__, [*same, F.col("p._y") == other["_y"]]))
+    df = a.withColumn("_x", key(name)).hint("merge").join(pairs, [*block, "_x"]).alias("p").join(other.hint("merge"), reduce(Column.__and__, [*same, F.col("p._y") == other["_y"]]))
     if before:
         df = df.filter(F.col(before) < F.col(f"{before}_b"))
     return df.select(*[F.col(f"p.{c}") for c in a.columns], *[f"{c}_b" for c in b.columns], F.col("p.similarity"), (0.6 + 0.3 * (F.col("p.similarity") - least) / (1 - least)).alias("confidence"))

@@ -125,6 +125,18 @@ def test_candidates_do_not_grow_with_copies(spark):
     assert identity.name_candidates(many.distinct(), many.distinct(), ["g"]).count() == n
 
 
+def test_fuzzy_links_broadcast_nothing(spark):
+    """The parts of names are hundreds of rows for each name, and the optimizer doesn't know."""
+    from pulsegrid.plans.queries import QUERIES
+
+    from .conftest import SF
+
+    df = QUERIES["l7_fuzzy_links"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 4 and "Broadcast" not in plan
+
+
 def test_fuzzy(spark):
     a = spark.createDataFrame([("Jon Smith", 1980, "1"), ("Ann Lee", 1980, "1")], "name string, y int, zip string")
     b = spark.createDataFrame([("John Smith", 1980, "1"), ("Jon Smith", 1981, "1")], "name string, y int, zip string")
