@@ -99,3 +99,73 @@ def test_stateful_baseline_equals_running_statistics(spark, folder):
     ref = shaped(events).withColumn("n", F.count("*").over(w)).withColumn("m", F.avg("value").over(w)).withColumn("sd", F.stddev_samp("value").over(w))
     want = {(r.account, r.metric, r.seq) for r in ref.filter("n >= 3 AND sd > 0 AND abs(value - m) > 2 * sd").collect()}
     assert {(r.account, r.metric, r.seq) for r in out} == want and want
+
+
+def brute_force(held, rows, sigma, least, days):
+    """Alerts of rows (key, second, seq, value) of a batch, in their order, and the values held of each key's days."""
+    import statistics
+
+    alerts = []
+    for key, at, seq, value in sorted(rows):
+        own, day = held.setdefault(key, {}), at // 86400
+        newest = max([day, *own])
+        for k in [k for k in own if k <= newest - days]:
+            del own[k]
+        before = [v for k in own for v in own[k]]
+        if len(before) >= max(least, 2) and statistics.stdev(before) > 0 and abs(value - statistics.mean(before)) > sigma * statistics.stdev(before):
+            alerts.append((key, seq, statistics.mean(before), statistics.stdev(before)))
+        if day > newest - days:
+            own.setdefault(day, []).append(value)
+    return alerts
+
+
+def test_bucket_of_keys_equals_brute_force():
+    """Keys of one bucket in several batches: late days, days that fall out, idle keys, a key whose values dwarf the others'."""
+    import random
+
+    import pandas as pd
+
+    class State:
+        value, now = None, 0
+
+        @property
+        def getOption(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+    r, b, state = random.Random(5), ingest.Baseline(least=3, days=4, ttl_ms=5000), State()
+    held, last, seq, found = {}, {}, 0, 0
+    for batch in range(25):
+        state.now, rows = batch * 1000, []
+        for key in r.sample([k for k in range(12) if batch < 12 or k != 3], r.randint(1, 8)):
+            for _ in range(r.randint(1, 9)):
+                seq += 1
+                rows.append((key, 86400 * (batch // 2 + r.randint(0, 6 if key % 3 else 2)) + r.randint(0, 86399), seq, 10.0 ** (9 if key == 5 else 0) * (r.choice([10, 11, 12, 40]) + key)))
+        seen = {k for k, *_ in rows}
+        for k in seen:
+            if batch - last.get(k, batch) >= 5:
+                del held[k]
+        last |= dict.fromkeys(seen, batch)
+        want = sorted(brute_force(held, rows, 2.0, 3, 4))
+        f = pd.DataFrame([(str(k) if k else None, "m", s, t, v) for k, t, s, v in rows], columns=["account", "metric", "seq", "event_s", "value"])
+        got = sorted((int(x.account or 0), x.seq, x.mean, x.std) for out in b.of_bucket((0,), iter([f]), state) for x in out.itertuples())
+        assert [x[:2] for x in got] == [x[:2] for x in want]
+        assert all(abs(p - q) <= 1e-9 * abs(q) for x, y in zip(got, want) for p, q in zip(x[2:], y[2:]))
+        found += len(got)
+    assert found > 20 and "3" not in state.value[0]
+
+
+def test_alerts_of_many_keys_have_few_states(spark, folder):
+    """A batch calls Python once for a bucket; a state of each key's day took minutes for some thousand keys."""
+    keys = spark.range(3000).selectExpr("cast(id % 1000 AS string) AS account", "'m' AS metric", "id AS seq", "id div 1000 * 86400 AS event_s", "cast(if(id >= 2000 AND id % 7 = 0, 50, id div 1000 % 2) AS double) AS value")
+    keys.write.parquet(f"{folder}/in")
+    out = []
+    q = ingest.alert_stream(ingest.baseline_alerts(ingest.file_source(spark, f"{folder}/in", keys.schema), least=2, buckets=16), lambda df, _: out.extend(df.collect()), f"{folder}/cp")
+    assert q.awaitTermination(120)
+    assert sorted(r.seq for r in out) == [k for k in range(2000, 3000) if k % 7 == 0]
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 16
