@@ -177,6 +177,25 @@ def test_pharmacy_links_of_distant_customers(spark, folder):
     assert sorted(duck.execute(ORACLE_SQL["l6_pharmacy_links"]).fetchall()) == sorted(got)
 
 
+def test_pharmacy_links_shuffle_each_side_once(spark):
+    """Fills once, prescriptions once by patient and once as two copies; the optimizer doesn't count copies, so none is broadcast."""
+    from pulsegrid.plans.queries import QUERIES
+
+    from .conftest import SF
+
+    df = QUERIES["l6_pharmacy_links"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("at_once", [0, 100])
+def test_pharmacy_links_of_identifiers_with_several_fills(spark, monkeypatch, at_once):
+    monkeypatch.setattr(identity, "SEVERAL_AT_ONCE", at_once)
+    f = spark.createDataFrame([(i, k, "x", date(2024, 1, d)) for i, k, d in (("a", 1, 1), ("a", 2, 9), ("b", 1, 3), (None, 1, 20), (None, 1, 20))], "pharmacy_patient_id string, prescriber int, drug string, date date")
+    p = spark.createDataFrame([(i, k, "x", date(2024, 1, d)) for i, k, d in (("m", 1, 1), ("m", 1, 1), ("m", 1, 5), ("m", 2, 16), ("n", 1, 27), ("n", 1, 13), (None, 2, 2))], "patient_id string, prescriber int, drug string, date date")
+    assert rows(identity.pharmacy_links(f, p)) == sorted([("a", "m"), ("a", None), ("b", "m"), (None, "n")], key=str)
+
+
 DAY = st.none() | st.integers(1, 28).map(lambda d: date(2024, 1, d))
 SEEN = st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from([1, 2, None]), st.sampled_from(["x", "y", None]), DAY)
 
